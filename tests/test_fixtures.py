@@ -1,0 +1,80 @@
+import pytest
+from fixture_pairs import fixtures
+
+from rowproof import CompareSpec, MissingKeys, compare
+from rowproof.operators import totals
+from rowproof.plans.report import report_sheets
+
+PAIRS = fixtures()
+
+
+@pytest.fixture(params=sorted(PAIRS))
+def case(request):
+    return PAIRS[request.param]
+
+
+def test_columns(spark, case):
+    reference, delivered = case.frames(spark)
+    result = compare(reference, delivered, case.keys)
+    assert result.common_columns() == case.common
+    assert result.delivered_only_columns() == case.delivered_only
+    assert result.reference_only_columns() == case.reference_only
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_counts_and_percentages(spark, case, small):
+    reference, delivered = case.frames(spark)
+    result = compare(reference, delivered, CompareSpec.of(case.keys, small_delivered=small))
+    both, delivered_only, reference_only = case.counts
+    assert result.keys_present().count() == both
+    assert result.keys_delivered_only().count() == delivered_only
+    assert result.keys_reference_only().count() == reference_only
+    row = result.summary().head().asDict()
+    assert row == {
+        "reference_columns": len(reference.columns),
+        "delivered_columns": len(delivered.columns),
+        "reference_rows": len(case.reference),
+        "delivered_rows": len(case.delivered),
+        "common_keys": both,
+        "delivered_only_keys": delivered_only,
+        "reference_only_keys": reference_only,
+        "match_percent": case.percents[0],
+        "non_match_percent": case.percents[1],
+    }
+    percent = result.match_percent().head()
+    assert tuple(percent) == (both, delivered_only, *case.percents)
+
+
+def test_percentage_sheet(spark, case):
+    reference, delivered = case.frames(spark)
+    counts = totals.key_counts(compare(reference, delivered, case.keys).presence())
+    assert [tuple(r) for r in totals.percent_rows(counts).collect()] == [
+        ("Matching Data", f"{case.percents[0]}%"),
+        ("Non Matching Data", f"{case.percents[1]}%"),
+    ]
+
+
+def test_report_sheets_of_first_pair(spark):
+    reference, delivered = PAIRS["f1"].frames(spark)
+    sheets = report_sheets(compare(reference, delivered, "P1,P2"))
+    assert list(sheets) == [
+        "Column Counts", "CSV Columns", "Primary Keys Data Present",
+        "Primary Keys Not Present", "Percentage",
+    ]
+    rows = {title: [tuple(r) for r in sheet.collect()] for title, sheet in sheets.items()}
+    assert rows["Column Counts"] == [("Hive Table", 6), ("CSV Table", 7)]
+    assert rows["CSV Columns"] == [
+        (1, "p1", "c7"), (2, "p2", "c8"), (3, "p3", "c9"), (4, "c4", ""),
+    ]
+    assert sorted(rows["Primary Keys Data Present"]) == [
+        ("a", "A"), ("b", "B"), ("c", "C"), ("d", "D"),
+    ]
+    assert sorted(rows["Primary Keys Not Present"]) == [("g", "G"), ("h", "H"), ("i", "I")]
+    assert rows["Percentage"] == [("Matching Data", "57.14%"), ("Non Matching Data", "42.86%")]
+
+
+@pytest.mark.parametrize("name", ["f2", "f3", "f4"])
+def test_other_pairs_refuse_keys_of_the_first(spark, name):
+    reference, delivered = PAIRS[name].frames(spark)
+    with pytest.raises(MissingKeys, match="reference side lacks .*p1.*delivered side lacks .*p1"):
+        compare(reference, delivered, "P1,P2")
