@@ -10,7 +10,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from rowproof import settings
 from rowproof.operators.columns import rename_by_comment
@@ -71,7 +70,6 @@ def run_newest(
 ) -> Run:
     """Compare the newest drop and write its report; ``at`` is the run time, by default now."""
     job = job_settings(spark, job_path)
-    at = F.current_timestamp() if at is None else at
     drop = drops.find_newest_drop(spark, _needed(job, settings.DROP_FOLDER), at)
     return _run(spark, job, drop, legacy)
 

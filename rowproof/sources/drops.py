@@ -41,14 +41,18 @@ def newest_drop(
 
 
 def find_newest_drop(
-    spark: SparkSession, folder: str, at: Column, prefix: str = settings.DROP_PREFIX
+    spark: SparkSession,
+    folder: str,
+    at: Column | None = None,
+    prefix: str = settings.DROP_PREFIX,
 ) -> Row:
     """The newest drop of a folder as a row ``(name, modificationTime, path, run_id)``.
 
-    ``run_id`` names a run over the drop at the time ``at``. Raises ``FileNotFoundError`` if
+    ``run_id`` names a run over the drop at the time ``at``, by default now. Raises ``FileNotFoundError`` if
     the folder has no files, or none with the prefix.
     """
     listing = list_folder(spark, folder)
+    at = F.current_timestamp() if at is None else at
     found = (
         newest_drop(listing, prefix=prefix)
         .withColumn("run_id", run_name(F.col("name"), at))

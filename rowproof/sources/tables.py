@@ -14,7 +14,8 @@ def catalog_table(spark: SparkSession, database: str, table: str) -> DataFrame:
 
 
 def delimited(spark: SparkSession, path: str, delimiter: str = ",", **options) -> DataFrame:
-    """Delimited text with a header row: all columns are strings, an empty field is null.
+    """Delimited text with a header row: all columns are strings, an empty field is null,
+    quoted or not.
 
     Files are split across tasks, so a quoted field may hold no line break unless
     ``multiLine=True`` is given. Headers are checked in every file: a file with its
