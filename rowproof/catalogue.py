@@ -13,12 +13,10 @@ from pyspark.sql import functions as F
 
 from rowproof import settings, storage
 from rowproof.functions.names import folder_of, run_name, table_name
-from rowproof.operators import columns
+from rowproof.operators import columns, keys, totals
 from rowproof.operators.ordering import first_rows, top_rows
 from rowproof.plans.compare import Comparison, compare
 from rowproof.plans.report import first_key_side_by_side, key_sheet, one_table, report_sheets
-from rowproof.operators import keys
-from rowproof.operators import totals
 from rowproof.sinks import landing, report_store
 from rowproof.sources import config, drops, tables
 from rowproof.spec import CompareSpec
@@ -72,7 +70,7 @@ def orders_lineitem(t: Tables) -> Comparison:
     return compare(
         t["orders"].withColumnRenamed("o_orderkey", "order_key"),
         t["lineitem"].withColumnRenamed("l_orderkey", "Order_Key"),
-        "order_key",
+        CompareSpec.of("order_key", small_delivered=False),
     )
 
 
@@ -83,7 +81,7 @@ WITH r AS (SELECT l_orderkey, l_linenumber FROM lineitem),
 """
 
 
-def moved_lines(t: Tables, small_delivered: bool = True) -> Comparison:
+def moved_lines(t: Tables, small_delivered: bool = False) -> Comparison:
     """Line items against line items with a third of the order keys turned negative."""
     key = F.col("l_orderkey")
     moved = F.when(F.col("l_returnflag") == "R", -1 - key).otherwise(key)
@@ -111,7 +109,7 @@ def null_orders(t: Tables) -> Comparison:
     return compare(
         t["orders"].withColumn("order_key", reference),
         t["orders"].withColumn("order_key", delivered),
-        "order_key",
+        CompareSpec.of("order_key", small_delivered=False),
     )
 
 
@@ -129,7 +127,7 @@ WITH r AS (SELECT o_orderkey AS order_key FROM orders),
 """
 
 
-def text_lines(t: Tables) -> Comparison:
+def text_lines(t: Tables, small_delivered: bool = False) -> Comparison:
     """Orders against line items whose keys are texts in several spellings, some unreadable."""
     key = F.col("l_orderkey")
     spelling = (
@@ -142,7 +140,7 @@ def text_lines(t: Tables) -> Comparison:
     return compare(
         t["orders"].withColumnRenamed("o_orderkey", "order_key"),
         t["lineitem"].select(spelling.alias("order_key")),
-        "order_key",
+        CompareSpec.of("order_key", small_delivered=small_delivered),
     )
 
 
@@ -213,8 +211,9 @@ def keys_delivered_only(t):
 
 
 @query(ORACLES["keys_delivered_only"])
-def keys_delivered_only_large(t):
-    return moved_lines(t, small_delivered=False).keys_delivered_only()
+def keys_delivered_only_reduced(t):
+    """The same by the plan for a small delivered side."""
+    return moved_lines(t, small_delivered=True).keys_delivered_only()
 
 
 @query(NULL_ORDERS + f"SELECT DISTINCT order_key FROM d WHERE NOT {_has('r', 'order_key', of='d')}")
@@ -231,6 +230,12 @@ def keys_delivered_only_mixed_type(t):
     return text_lines(t).keys_delivered_only()
 
 
+@query(ORACLES["keys_delivered_only_mixed_type"])
+def keys_delivered_only_mixed_type_reduced(t):
+    """The same by the plan for a small delivered side."""
+    return text_lines(t, small_delivered=True).keys_delivered_only()
+
+
 @query(
     ORDERS_LINEITEM
     + f"SELECT DISTINCT order_key FROM r WHERE NOT {_has('d', 'order_key', of='r')}"
@@ -239,10 +244,25 @@ def keys_reference_only(t):
     return orders_lineitem(t).keys_reference_only()
 
 
+@query("SELECT doc_id, TRUE AS present FROM labels")
+def keys_presence_labels(t):
+    """Labels are few and documents many: the documents are filtered before any shuffle."""
+    return compare(t["documents"], t["labels"], "doc_id").presence()
+
+
 @query("SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS present FROM documents")
+def keys_presence_documents(t):
+    """Which documents have a label? Here the documents are the delivered side."""
+    spec = CompareSpec.of("doc_id", small_delivered=False)
+    return compare(t["labels"], t["documents"], spec).presence()
+
+
+@query(
+    CUSTOMERS
+    + f"SELECT c_custkey, {_has('r', 'c_custkey', of='d')} AS present FROM d"
+)
 def keys_presence(t):
-    """Labels as reference, documents as delivered side: which documents have a label?"""
-    return compare(t["labels"], t["documents"], "doc_id").presence()
+    return customers(t).presence()
 
 
 @query(
@@ -251,8 +271,8 @@ def keys_presence(t):
     + _has("r", "l_orderkey", "l_linenumber", of="u")
     + " AS present FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM d) u"
 )
-def keys_presence_large(t):
-    return moved_lines(t, small_delivered=False).presence()
+def keys_presence_composite(t):
+    return moved_lines(t).presence()
 
 
 @query(
@@ -501,7 +521,7 @@ FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM d) q WHERE NOT """
     + _has("r", "l_orderkey", "l_linenumber", of="q")
 )
 def report_keys_absent_legacy(t):
-    result = moved_lines(t, small_delivered=False)
+    result = moved_lines(t)
     return key_sheet(keys.absent_keys(result.presence(), result.pair), legacy=True)
 
 

@@ -4,11 +4,11 @@ Two plan shapes, both without any hint:
 
 * ``tally`` and ``key_sides`` mark the key columns of both sides, union them and group
   once. One shuffle serves all three results; hot keys are combined before it.
-* ``presence`` answers for delivered keys only. For a small delivered side the reference is
-  first reduced to the keys that were delivered: as long as Spark finds these small enough
-  to broadcast, no unmatched reference row is shuffled, and beyond that the same plan runs
-  as sort-merge joins of two distinct sides. For a delivered side known to be large, the
-  reduction is left out, since it would shuffle the delivered keys twice.
+* For a small delivered side, the reference is first reduced to the delivered keys by a semi
+  join: as long as Spark finds these small enough to broadcast, no unmatched reference row
+  is shuffled, and beyond that the same plan runs as a sort-merge join of two distinct
+  sides. For a delivered side known to be large the reduction is left out, since it would
+  shuffle the delivered keys twice.
 
 Both sides are made distinct by grouping, never by joining raw rows: a key that holds a
 third of a table is one row per map task afterwards.
@@ -16,7 +16,7 @@ third of a table is one row per map task afterwards.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowproof.functions.casting import value_as
 from rowproof.operators.columns import quoted
 from rowproof.spec import require_keys
 
@@ -103,11 +104,9 @@ def pair_keys(reference: DataFrame, delivered: DataFrame, keys: tuple[str, ...])
             right.append(raw.alias(key))
             continue
         mixed.append(i)
-        typed = raw.try_cast(ref_field.dataType)
+        typed = value_as(raw, del_field.dataType, ref_field.dataType)
         if isinstance(del_field.dataType, T.StringType):
             texts.append(raw.alias(f"s{i}"))
-        else:
-            typed = F.when(typed.try_cast(del_field.dataType) == raw, typed)
         right += [typed.alias(key), F.when(typed.isNull(), raw).alias(f"__odd_{i}")]
     if texts:
         right.append(F.struct(*texts).alias(_SPELLED))
@@ -125,46 +124,43 @@ def distinct_reference(pair: KeyPair) -> DataFrame:
 
 
 def distinct_delivered(pair: KeyPair, spelling: bool = False) -> DataFrame:
-    """Distinct delivered keys. The smallest spelling of each needs a sorting aggregate
-    where texts were read as another type, so it is left out unless asked for."""
+    """Distinct delivered keys, on request with the smallest spelling of each.
+
+    The spelling takes a sorting aggregate where texts were read as another type.
+    """
     if spelling and pair.spelled:
         return pair.delivered.groupBy(*pair.grouping).agg(*_smallest_spelling(pair))
     return pair.delivered.select(*pair.grouping).distinct()
 
 
+def _wanted(pair: KeyPair) -> DataFrame:
+    """Distinct delivered keys in the reference's types, for use on the right of a join."""
+    return pair.delivered.select(*pair.typed_keys()).distinct()
+
+
 def keys_present(pair: KeyPair) -> DataFrame:
     """Keys on both sides. A null key part matches nothing."""
-    wanted = distinct_delivered(pair).select(*pair.typed_keys())
-    return distinct_reference(pair).join(wanted, list(pair.keys), "left_semi")
+    return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_semi")
 
 
-def _known_keys(pair: KeyPair, small_delivered: bool) -> DataFrame:
-    """Distinct reference keys; those beyond the delivered ones may be left out."""
-    return keys_present(pair) if small_delivered else distinct_reference(pair)
+def keys_reference_only(pair: KeyPair) -> DataFrame:
+    """Reference keys that were not delivered."""
+    return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_anti")
 
 
 def presence(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
     """Each distinct delivered key with a flag ``present``.
 
     The key columns are in the pair's internal form; see ``present_keys`` and ``absent_keys``.
-    """
-    if not small_delivered and not pair.spelled:
-        return (
-            key_sides(pair)
-            .where("on_delivered")
-            .select(*pair.grouping, (F.col("on_reference") & whole(pair)).alias("present"))
-        )
-    return flag_known(
-        distinct_delivered(pair, spelling=True), _known_keys(pair, small_delivered), pair
-    )
 
-
-def flag_known(delivered_keys: DataFrame, known: DataFrame, pair: KeyPair) -> DataFrame:
-    """Distinct delivered keys with a flag ``present`` for those among ``known``."""
-    return (
-        delivered_keys.join(known.withColumn("__found", F.lit(True)), list(pair.keys), "left")
-        .withColumn("present", F.col("__found").isNotNull())
-        .drop("__found")
+    Delivered keys are grouped with the reference's rather than joined to them: a join would
+    send all delivered values without a typed form to one task, as they share the null key.
+    """
+    if small_delivered:
+        pair = replace(pair, reference=keys_present(pair))
+    delivered = key_sides(pair, spelling=True).where("on_delivered")
+    return delivered.withColumn("present", F.col("on_reference") & whole(pair)).drop(
+        "on_reference", "on_delivered"
     )
 
 
@@ -178,17 +174,7 @@ def absent_keys(presence_frame: DataFrame, pair: KeyPair) -> DataFrame:
 
 def keys_delivered_only(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
     """Delivered keys that the reference lacks, as delivered."""
-    return (
-        distinct_delivered(pair, spelling=True)
-        .join(_known_keys(pair, small_delivered), list(pair.keys), "left_anti")
-        .select(*pair.delivered_keys())
-    )
-
-
-def keys_reference_only(pair: KeyPair) -> DataFrame:
-    """Reference keys that were not delivered."""
-    wanted = distinct_delivered(pair).select(*pair.typed_keys())
-    return distinct_reference(pair).join(wanted, list(pair.keys), "left_anti")
+    return absent_keys(presence(pair, small_delivered), pair)
 
 
 def _union(

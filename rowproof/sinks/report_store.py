@@ -62,7 +62,7 @@ def written_presence(comparison: Comparison, folder: str) -> DataFrame:
         keys.distinct_delivered(pair, spelling=True), f"{folder}/delivered_keys"
     )
     pair = replace(pair, delivered=delivered)
-    wanted = delivered.select(*pair.typed_keys())
+    wanted = delivered.where(keys.whole(pair)).select(*pair.typed_keys())
     spark = delivered.sparkSession
     if _broadcast_allowed(spark) and _bytes_of_keys(wanted) <= BROADCAST_BYTES:
         found = pair.reference.join(F.broadcast(wanted), list(pair.keys), "left_semi")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowproof.functions import casting as C
 from rowproof.functions import names as N
 from rowproof.functions import rendering as R
 
@@ -84,3 +85,19 @@ def test_percent(spark, part, other, expected):
     assert one(spark, value) == expected
     text = None if expected is None else f"{expected}%"
     assert one(spark, R.percent_text(value)) == text
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint"])
+def test_text_as_integer_is_try_cast(spark, kind):
+    texts = [
+        "1", "-1", "+1", " 1", "1 ", "\t1\n", "\x001\x7f", "01", "1.0", "1.", "1e1", "1L", "", " ",
+        "-", "+", "--1", "1-1", "9" * 30, "300", "no-1", "1_0", "0x1", "１", "1 ", " 1", None,
+    ]
+    texts += [chr(c) + "1" for c in range(0x180)] + ["1" + chr(c) for c in range(0x180)]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    data_type = T.DataType.fromDDL(kind)
+    rows = df.select(
+        "x", C.text_as(F.col("x"), data_type).alias("a"), F.col("x").try_cast(data_type).alias("b")
+    ).collect()
+    assert [r for r in rows if r.a != r.b] == []
+    assert sum(r.a is not None for r in rows) > 50
