@@ -138,14 +138,26 @@ def _wanted(pair: KeyPair) -> DataFrame:
     return pair.delivered.select(*pair.typed_keys()).distinct()
 
 
-def keys_present(pair: KeyPair) -> DataFrame:
+def _typed_sides(pair: KeyPair) -> DataFrame:
+    """``key_sides`` without telling apart delivered values that have no typed form."""
+    typed = pair.delivered.select(*pair.typed_keys())
+    return key_sides(replace(pair, delivered=typed, mixed=()))
+
+
+def keys_present(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
     """Keys on both sides. A null key part matches nothing."""
-    return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_semi")
+    if small_delivered:
+        return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_semi")
+    found = F.col("on_reference") & F.col("on_delivered") & whole(pair)
+    return _typed_sides(pair).where(found).select(*pair.typed_keys())
 
 
-def keys_reference_only(pair: KeyPair) -> DataFrame:
+def keys_reference_only(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
     """Reference keys that were not delivered."""
-    return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_anti")
+    if small_delivered:
+        return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_anti")
+    lacking = F.col("on_reference") & ~(F.col("on_delivered") & whole(pair))
+    return _typed_sides(pair).where(lacking).select(*pair.typed_keys())
 
 
 def presence(pair: KeyPair, small_delivered: bool = True) -> DataFrame:

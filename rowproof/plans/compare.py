@@ -40,13 +40,13 @@ class Comparison:
         return columns.columns_side_by_side(self.reference, self.delivered)
 
     def keys_present(self) -> DataFrame:
-        return keys.keys_present(self.pair)
+        return keys.keys_present(self.pair, self.spec.small_delivered)
 
     def keys_delivered_only(self) -> DataFrame:
         return keys.keys_delivered_only(self.pair, self.spec.small_delivered)
 
     def keys_reference_only(self) -> DataFrame:
-        return keys.keys_reference_only(self.pair)
+        return keys.keys_reference_only(self.pair, self.spec.small_delivered)
 
     def keys_status(self) -> DataFrame:
         return keys.keys_status(self.pair)

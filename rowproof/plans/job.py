@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 
-from rowproof import settings
+from rowproof import settings, storage
 from rowproof.operators.columns import rename_by_comment
 from rowproof.plans.compare import Comparison, compare
 from rowproof.sinks.report_store import write_report
@@ -57,8 +57,9 @@ def _needed(job: Mapping[str, str], name: str) -> str:
 
 def _run(spark: SparkSession, job: Mapping[str, str], drop: Row, legacy: bool) -> Run:
     folder, base = _needed(job, settings.DROP_FOLDER), drop["name"].split(".", 1)[0]
-    values = drop_settings(spark, f"{folder}/config/{base}.properties", legacy)
-    comparison = compare_drop(spark, drop["path"], values)
+    settings_path = storage.literal_path(f"config/{base}.properties")
+    values = drop_settings(spark, f"{folder}/{settings_path}", legacy)
+    comparison = compare_drop(spark, storage.literal_path(drop["path"]), values)
     output = _needed(job, settings.OUTPUT_PATH)
     return Run(
         drop["run_id"], comparison, write_report(comparison, output, drop["run_id"], legacy)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowproof import settings
+from rowproof import settings, storage
 from rowproof.functions.rendering import key_cell
 from rowproof.operators import keys, totals
 from rowproof.operators.columns import quoted
@@ -66,17 +66,20 @@ def one_table(sheets: dict[str, DataFrame], width: int) -> DataFrame:
 def first_key_side_by_side(comparison: Comparison, legacy: bool = False) -> DataFrame:
     """First key of the keys present and not present, next to each other by row number.
 
-    Either list is sorted by all its keys; the shorter one is padded with ``''``.
+    Either list is sorted by all its keys; the shorter one is padded with ``''``. The keys
+    are written once, so that both lists come from one pass over the two sides.
     """
-    first, order = comparison.spec.keys[0], list(comparison.spec.keys)
+    pair, first, order = comparison.pair, comparison.spec.keys[0], list(comparison.spec.keys)
+    folder = storage.new_folder(comparison.reference.sparkSession, "presence")
+    presence = storage.stage(comparison.presence(), folder)
 
     def numbered(key_rows: DataFrame, name: str) -> DataFrame:
         shown = key_cell(quoted(first), key_rows.schema[first].dataType, legacy)
         return number_rows(key_rows, order).select("row_no", shown.alias(name))
 
     return (
-        numbered(comparison.keys_present(), "present")
-        .join(numbered(comparison.keys_delivered_only(), "not_present"), "row_no", "full_outer")
+        numbered(keys.present_keys(presence, pair), "present")
+        .join(numbered(keys.absent_keys(presence, pair), "not_present"), "row_no", "full_outer")
         .select(
             "row_no",
             F.coalesce("present", F.lit("")).alias("present"),

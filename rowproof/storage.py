@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,3 +43,8 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def literal_path(path: str) -> str:
+    """A path for Spark readers in which ``[``, ``{``, ``*`` and ``?`` stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -9,6 +9,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("rowproof-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")

@@ -67,5 +67,19 @@ def test_without_broadcast_the_same_results(spark, sides):
 
 def test_large_delivered_side_needs_no_join(sides):
     result = compare(*sides, CompareSpec.of("k", small_delivered=False))
-    text = plan(result.presence())
-    assert "Join" not in text and text.count("Exchange") == 1
+    for df in (
+        result.presence(), result.keys_present(), result.keys_delivered_only(),
+        result.keys_reference_only(),
+    ):
+        assert "Join" not in plan(df) and plan(df).count("Exchange") == 1
+
+
+def test_unreadable_texts_are_spread_over_tasks(spark, sides):
+    """Values without a typed form have the null key in common; the shuffle tells them apart."""
+    reference, delivered = sides
+    texts = delivered.selectExpr("concat('no-', k) AS k")
+    for small in (True, False):
+        result = compare(reference, texts, CompareSpec.of("k", small_delivered=small))
+        shuffles = re.findall(r"hashpartitioning\(([^)]*)\)", plan(result.keys_delivered_only()))
+        assert "__odd_0" in shuffles[0]
+        assert result.keys_delivered_only().count() == 500

@@ -85,6 +85,15 @@ def test_all_new_drops_are_compared_once(spark, setup):
     assert written() == sorted([first, second])
 
 
+def test_name_with_wildcards_is_taken_literally(spark, setup):
+    config = (setup / "in/config/dq_check_a.properties").read_text()
+    put(setup, "in/config/dq_check_[ab]{1}.properties", config)
+    put(setup, "in/dq_check_[ab]{1}.csv", "Key_No|w\n3|x\n", at=1_700_000_900)
+    run = job.run_newest(spark, f"{setup}/job.properties")
+    assert run.run_id.startswith("dq_check_[ab]{1}_CompareData_")
+    assert as_set(run.sheets["Primary Keys Data Present"].select("key_no")) == [("3",)]
+
+
 def test_missing_settings(spark, setup):
     put(setup, "bad.properties", "output.path=x\n")
     with pytest.raises(ValueError, match="source.file.path is missing"):
