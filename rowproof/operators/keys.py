@@ -152,10 +152,12 @@ def keys_present(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
     return _typed_sides(pair).where(found).select(*pair.typed_keys())
 
 
-def keys_reference_only(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
-    """Reference keys that were not delivered."""
-    if small_delivered:
-        return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_anti")
+def keys_reference_only(pair: KeyPair) -> DataFrame:
+    """Reference keys that were not delivered.
+
+    Nearly all reference keys remain if few were delivered, so filtering them before the
+    shuffle would save nothing.
+    """
     lacking = F.col("on_reference") & ~(F.col("on_delivered") & whole(pair))
     return _typed_sides(pair).where(lacking).select(*pair.typed_keys())
 

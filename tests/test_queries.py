@@ -1,0 +1,30 @@
+"""Every registered query against its SQL in DuckDB."""
+
+import os
+
+import pytest
+from oracle import connect, differences
+
+import __spark_entry__ as entry
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(FOLDER)
+
+
+def test_every_query_has_its_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, duck, name):
+    problem = differences(spark, duck, entry.queries()[name], entry.oracle_sql()[name], FOLDER)
+    assert problem == ""
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() == 1
