@@ -247,14 +247,14 @@ def keys_reference_only(t):
 @query("SELECT doc_id, TRUE AS present FROM labels")
 def keys_presence_labels(t):
     """Labels are few and documents many: the documents are filtered before any shuffle."""
-    return compare(t["documents"], t["labels"], "doc_id").presence()
+    return compare(t["documents"], t["labels"], "doc_id").keys_found()
 
 
 @query("SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS present FROM documents")
 def keys_presence_documents(t):
     """Which documents have a label? Here the documents are the delivered side."""
     spec = CompareSpec.of("doc_id", small_delivered=False)
-    return compare(t["labels"], t["documents"], spec).presence()
+    return compare(t["labels"], t["documents"], spec).keys_found()
 
 
 @query(
@@ -262,7 +262,7 @@ def keys_presence_documents(t):
     + f"SELECT c_custkey, {_has('r', 'c_custkey', of='d')} AS present FROM d"
 )
 def keys_presence(t):
-    return customers(t).presence()
+    return customers(t).keys_found()
 
 
 @query(
@@ -272,7 +272,7 @@ def keys_presence(t):
     + " AS present FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM d) u"
 )
 def keys_presence_composite(t):
-    return moved_lines(t).presence()
+    return moved_lines(t).keys_found()
 
 
 @query(

@@ -32,6 +32,8 @@ BOTH = "both"
 DELIVERED_ONLY = "delivered_only"
 REFERENCE_ONLY = "reference_only"
 
+# Columns of the frames in here begin with two underscores, so that keys may have any name.
+PRESENT = "__present"
 _SPELLED = "__spelled"
 
 
@@ -148,7 +150,7 @@ def keys_present(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
     """Keys on both sides. A null key part matches nothing."""
     if small_delivered:
         return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_semi")
-    found = F.col("on_reference") & F.col("on_delivered") & whole(pair)
+    found = F.col("__on_reference") & F.col("__on_delivered") & whole(pair)
     return _typed_sides(pair).where(found).select(*pair.typed_keys())
 
 
@@ -158,12 +160,12 @@ def keys_reference_only(pair: KeyPair) -> DataFrame:
     Nearly all reference keys remain if few were delivered, so filtering them before the
     shuffle would save nothing.
     """
-    lacking = F.col("on_reference") & ~(F.col("on_delivered") & whole(pair))
+    lacking = F.col("__on_reference") & ~(F.col("__on_delivered") & whole(pair))
     return _typed_sides(pair).where(lacking).select(*pair.typed_keys())
 
 
 def presence(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
-    """Each distinct delivered key with a flag ``present``.
+    """Each distinct delivered key with a flag ``__present``.
 
     The key columns are in the pair's internal form; see ``present_keys`` and ``absent_keys``.
 
@@ -172,18 +174,18 @@ def presence(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
     """
     if small_delivered:
         pair = replace(pair, reference=keys_present(pair))
-    delivered = key_sides(pair, spelling=True).where("on_delivered")
-    return delivered.withColumn("present", F.col("on_reference") & whole(pair)).drop(
-        "on_reference", "on_delivered"
+    delivered = key_sides(pair, spelling=True).where("__on_delivered")
+    return delivered.withColumn(PRESENT, F.col("__on_reference") & whole(pair)).drop(
+        "__on_reference", "__on_delivered"
     )
 
 
 def present_keys(presence_frame: DataFrame, pair: KeyPair) -> DataFrame:
-    return presence_frame.where("present").select(*pair.typed_keys())
+    return presence_frame.where(F.col(PRESENT)).select(*pair.typed_keys())
 
 
 def absent_keys(presence_frame: DataFrame, pair: KeyPair) -> DataFrame:
-    return presence_frame.where(~F.col("present")).select(*pair.delivered_keys())
+    return presence_frame.where(~F.col(PRESENT)).select(*pair.delivered_keys())
 
 
 def keys_delivered_only(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
@@ -211,16 +213,16 @@ def _union(
 
 
 def tally(pair: KeyPair) -> DataFrame:
-    """Each distinct key of either side with its row counts ``n_reference, n_delivered``."""
+    """Each distinct key of either side with its row counts ``__n_reference, __n_delivered``."""
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    marked = _union(pair, {"n_reference": (one, zero), "n_delivered": (zero, one)})
+    marked = _union(pair, {"__n_reference": (one, zero), "__n_delivered": (zero, one)})
     return marked.groupBy(*pair.grouping).agg(
-        F.sum("n_reference").alias("n_reference"), F.sum("n_delivered").alias("n_delivered")
+        F.sum("__n_reference").alias("__n_reference"), F.sum("__n_delivered").alias("__n_delivered")
     )
 
 
 def key_sides(pair: KeyPair, spelling: bool = False) -> DataFrame:
-    """Each distinct key of either side with ``on_reference`` and ``on_delivered``.
+    """Each distinct key of either side with ``__on_reference`` and ``__on_delivered``.
 
     With ``spelling``, also the smallest spelling of texts that were read as another type.
     """
@@ -232,23 +234,32 @@ def key_sides(pair: KeyPair, spelling: bool = False) -> DataFrame:
     )
     return grouped.select(
         "*",
-        (F.col("__side") != 2).alias("on_reference"),
-        (F.col("__side") != 1).alias("on_delivered"),
+        (F.col("__side") != 2).alias("__on_reference"),
+        (F.col("__side") != 1).alias("__on_delivered"),
     ).drop("__side")
 
 
+def require_free(pair: KeyPair, name: str) -> None:
+    """Raise if a result column would have the name of a key."""
+    if name in pair.keys:
+        raise ValueError(f"a key is named {name}; choose another name for the result column")
+
+
 def whole(pair: KeyPair) -> Column:
     """No part of the key is null; only such keys can match."""
     return reduce(and_, [c.isNotNull() for c in pair.typed_keys()])
 
 
-def keys_status(pair: KeyPair) -> DataFrame:
+def keys_status(pair: KeyPair, label: str = "status") -> DataFrame:
     """Each distinct key labelled ``both``, ``delivered_only`` or ``reference_only``.
 
+    The label stands in the column ``label``, which must differ from the keys.
+
     A key with a null part on both sides gets a row for either side. A key whose types
     differ across the sides appears as text.
     """
-    on_both = F.col("on_reference") & F.col("on_delivered")
+    require_free(pair, label)
+    on_both = F.col("__on_reference") & F.col("__on_delivered")
 
     def labels(*names: str) -> Column:
         return F.array(*[F.lit(n) for n in names])
@@ -258,15 +269,15 @@ def keys_status(pair: KeyPair) -> DataFrame:
         F.explode(
             F.when(on_both & whole(pair), labels(BOTH))
             .when(on_both, labels(DELIVERED_ONLY, REFERENCE_ONLY))
-            .when(F.col("on_delivered"), labels(DELIVERED_ONLY))
+            .when(F.col("__on_delivered"), labels(DELIVERED_ONLY))
             .otherwise(labels(REFERENCE_ONLY))
-        ).alias("status"),
+        ).alias("__status"),
     )
     shown = []
     for i, (typed, delivered) in enumerate(zip(pair.typed_keys(), pair.delivered_keys())):
         if i in pair.mixed:
             typed = F.when(
-                F.col("status") == DELIVERED_ONLY, delivered.cast("string")
+                F.col("__status") == DELIVERED_ONLY, delivered.cast("string")
             ).otherwise(typed.cast("string"))
         shown.append(typed.alias(pair.keys[i]))
-    return labelled.select(*shown, "status")
+    return labelled.select(*shown, F.col("__status").alias(label))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowproof import settings
 from rowproof.functions.rendering import percent_of, percent_text
-from rowproof.operators.keys import KeyPair, tally, whole
+from rowproof.operators.keys import PRESENT, KeyPair, tally, whole
 
 
 def row_totals(reference: DataFrame, delivered: DataFrame) -> DataFrame:
@@ -24,8 +24,8 @@ def row_totals(reference: DataFrame, delivered: DataFrame) -> DataFrame:
 def key_counts(presence_frame: DataFrame) -> DataFrame:
     """Over ``presence``: distinct delivered keys found, and not found."""
     return presence_frame.agg(
-        F.count_if("present").alias("n_present"),
-        F.count_if(~F.col("present")).alias("n_absent"),
+        F.count_if(PRESENT).alias("n_present"),
+        F.count_if(~F.col(PRESENT)).alias("n_absent"),
     )
 
 
@@ -64,11 +64,11 @@ def summary(pair: KeyPair, n_reference_columns: int, n_delivered_columns: int) -
 
     Everything comes from one pass over each side and one shuffle.
     """
-    on_reference, on_delivered = F.col("n_reference") > 0, F.col("n_delivered") > 0
+    on_reference, on_delivered = F.col("__n_reference") > 0, F.col("__n_delivered") > 0
     found = on_reference & on_delivered & whole(pair)
     counts = tally(pair).agg(
-        F.coalesce(F.sum("n_reference"), F.lit(0)).alias("reference_rows"),
-        F.coalesce(F.sum("n_delivered"), F.lit(0)).alias("delivered_rows"),
+        F.coalesce(F.sum("__n_reference"), F.lit(0)).alias("reference_rows"),
+        F.coalesce(F.sum("__n_delivered"), F.lit(0)).alias("delivered_rows"),
         F.count_if(found).alias("n_present"),
         F.count_if(on_delivered & ~found).alias("n_absent"),
         F.count_if(on_reference & ~found).alias("reference_only_keys"),

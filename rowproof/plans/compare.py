@@ -48,10 +48,17 @@ class Comparison:
     def keys_reference_only(self) -> DataFrame:
         return keys.keys_reference_only(self.pair)
 
-    def keys_status(self) -> DataFrame:
-        return keys.keys_status(self.pair)
+    def keys_status(self, label: str = "status") -> DataFrame:
+        return keys.keys_status(self.pair, label)
+
+    def keys_found(self, label: str = "present") -> DataFrame:
+        """Distinct delivered keys, as delivered, with a flag for those in the reference."""
+        keys.require_free(self.pair, label)
+        found = F.col(keys.PRESENT).alias(label)
+        return self.presence().select(*self.pair.delivered_keys(), found)
 
     def presence(self) -> DataFrame:
+        """``keys_found`` in the form that ``present_keys`` and ``absent_keys`` take."""
         return keys.presence(self.pair, self.spec.small_delivered)
 
     def row_totals(self) -> DataFrame:

@@ -44,11 +44,11 @@ def report_sheets(
 def one_table(sheets: dict[str, DataFrame], width: int) -> DataFrame:
     """All sheets in one DataFrame ``(sheet, cell_1 .. cell_<width>)`` of strings.
 
-    Numbers of the rows are not cells; cells beyond a sheet's columns are null.
+    Row numbers of the columns sheet are not cells; cells beyond a sheet's columns are null.
     """
     parts = []
     for title, sheet in sheets.items():
-        names = [name for name in sheet.columns if name != "row_no"]
+        names = [n for n in sheet.columns if (title, n) != (settings.SHEET_COLUMNS, "row_no")]
         cells = [quoted(name).cast("string") for name in names]
         cells += [F.lit(None).cast("string")] * (width - len(cells))
         parts.append(
@@ -75,7 +75,8 @@ def first_key_side_by_side(comparison: Comparison, legacy: bool = False) -> Data
 
     def numbered(key_rows: DataFrame, name: str) -> DataFrame:
         shown = key_cell(quoted(first), key_rows.schema[first].dataType, legacy)
-        return number_rows(key_rows, order).select("row_no", shown.alias(name))
+        numbers = number_rows(key_rows, order, "__row_no")
+        return numbers.select(F.col("__row_no").alias("row_no"), shown.alias(name))
 
     return (
         numbered(keys.present_keys(presence, pair), "present")

@@ -77,6 +77,7 @@ def write_report(
 
     Each source is read once. Writing a run again replaces it, so a repeated run is safe.
     """
+    keys.require_free(comparison.pair, "run_id")
     presence = written_presence(comparison, _run_folder(path, "_work", run_id))
     for title, sheet in report_sheets(comparison, presence, legacy).items():
         sheet.write.mode("overwrite").parquet(_run_folder(path, FOLDERS[title], run_id))

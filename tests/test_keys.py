@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 
 from rowproof import CompareSpec, MissingKeys, compare
 from rowproof.operators import keys as K
+from rowproof.plans.report import first_key_side_by_side
 from rowproof.spec import parse_keys
 
 
@@ -100,6 +101,31 @@ def test_names_in_any_case_and_with_dots(spark):
     assert result.keys_status().head().status == "both"
 
 
+def test_keys_may_be_named_like_result_columns(spark):
+    names = ["status", "present", "n_reference", "on_delivered", "row_no", "__found"]
+    reference = spark.createDataFrame([(1,) * 6, (2,) * 6], names)
+    delivered = spark.createDataFrame([(1,) * 6, (3,) * 6], names)
+    for small in (True, False):
+        result = compare(reference, delivered, CompareSpec.of(names, small_delivered=small))
+        assert result.summary().head().common_keys == 1
+        assert result.match_percent().head().n_present == 1
+        assert as_set(result.keys_delivered_only()) == [(3,) * 6]
+        assert as_set(result.keys_present()) == [(1,) * 6]
+        assert as_set(result.keys_found("known")) == [(*(1,) * 6, True), (*(3,) * 6, False)]
+        assert result.keys_status("label").count() == 3
+        assert as_set(first_key_side_by_side(result)) == [(1, "1", "3")]
+        for refused in (result.keys_status, result.keys_found):
+            with pytest.raises(ValueError, match="a key is named"):
+                refused()
+
+
+def test_found_keys_appear_as_delivered(spark):
+    reference = spark.createDataFrame([(1,)], "k int")
+    delivered = spark.createDataFrame([("01",), ("x",), ("01",)], "k string")
+    for result in both_plans(reference, delivered, "k"):
+        assert as_set(result.keys_found()) == [("01", True), ("x", False)]
+
+
 def test_missing_and_repeated_keys(spark):
     one = spark.createDataFrame([(1, 2)], ["k", "x"])
     two = spark.createDataFrame([(1, 2)], ["k", "K"])
