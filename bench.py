@@ -46,6 +46,7 @@ HEADLINES = [
     "report_first_key_side_by_side",
     "managed_table",
     "external_table",
+    "text_drop",
     "intake_archive",
     "config_rows",
     "latest_drop",

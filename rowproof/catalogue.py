@@ -16,6 +16,7 @@ from rowproof.functions.names import folder_of, run_name, table_name
 from rowproof.operators import columns, keys, totals
 from rowproof.operators.ordering import first_rows, top_rows
 from rowproof.plans.compare import Comparison, compare
+from rowproof.plans.job import compare_drop
 from rowproof.plans.report import first_key_side_by_side, key_sheet, one_table, report_sheets
 from rowproof.sinks import landing, report_store
 from rowproof.sources import config, drops, tables
@@ -614,6 +615,26 @@ def delimited_roundtrip(t):
     return tables.delivered_table(t.spark, path, "|")
 
 
+@query(ORDERS_LINEITEM + _counts("order_key") + _summary(2, 2))
+def text_drop(t):
+    """A delivered text file against a typed catalog table, by settings and column comment."""
+    database = t.new_database()
+    t.spark.sql(
+        f"CREATE TABLE {database}.orders "
+        "(o_orderkey BIGINT COMMENT 'Order_Key', o_orderstatus STRING) "
+        f"USING parquet LOCATION '{t.folder}/orders.parquet'"
+    )
+    lines = t["lineitem"].select(F.col("l_orderkey").alias("Order_Key"), "l_returnflag")
+    path = landing.write_delimited(lines, storage.new_folder(t.spark, "drop"), "|")
+    values = {
+        settings.PRIMARY_KEYS: "order_key",
+        settings.REFERENCE_DATABASE: database,
+        settings.REFERENCE_TABLE: "orders",
+        settings.DELIVERED_DELIMITER: "|",
+    }
+    return compare_drop(t.spark, path, values).summary()
+
+
 @query("SELECT event_id, user_id, event_type, props FROM events")
 def intake_archive(t):
     """All events delivered as text files, taken in once by a stream that archives them."""

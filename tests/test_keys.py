@@ -155,7 +155,7 @@ key_rows = st.lists(st.tuples(key_part, st.one_of(st.none(), st.sampled_from("ab
 
 
 @hypothesis_settings(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(key_rows, key_rows)
 def test_results_agree_with_sets(spark, left, right):

@@ -74,11 +74,53 @@ def test_empty_key_sheet_can_be_read(spark, tmp_path):
     ]
 
 
-def test_small_delivered_keys_are_measured(spark):
+def test_delivered_keys_are_measured(spark):
     keys = spark.createDataFrame([("ab", 1), (None, 2)], "s string, n int")
-    assert report_store._bytes_of_keys(keys) == (24 + 2 + 16 + 24) + (24 + 0 + 16 + 24)
+    assert report_store.measure_keys(keys).total_bytes == (24 + 2 + 16 + 24) + (24 + 0 + 16 + 24)
     nested = spark.createDataFrame([([1],)], "a array<int>")
-    assert report_store._bytes_of_keys(nested) == float("inf")
+    sizes = report_store.measure_keys(nested)
+    assert sizes.total_bytes == float("inf") and sizes.within is None
+    empty = report_store.measure_keys(keys.where("false"))
+    assert empty.total_bytes == 0 and empty.within is None
+
+
+def test_all_measured_keys_are_within_their_bounds(spark):
+    keys = spark.sql(
+        "SELECT * FROM VALUES "
+        "('', 1L, 1.50BD, DATE'1999-12-31', TIMESTAMP_NTZ'2024-01-01 00:00:01', 1D), "
+        "('zz', -5L, 9.25BD, DATE'2024-02-29', TIMESTAMP_NTZ'2024-06-01 00:00:00', double('nan')), "
+        "('\u00e9', 77L, 0.01BD, DATE'0001-01-01', TIMESTAMP_NTZ'1960-01-01 00:00:00', -1D) "
+        "AS t(s, n, d, day, at, x)"
+    )
+    within = report_store.measure_keys(keys).within
+    assert keys.where(within).count() == 3
+    text = keys.where(within)._jdf.queryExecution().analyzed().toString()
+    assert " x#" not in text.split("Filter")[1].split("\n")[0]
+    assert spark.sql(
+        "SELECT '' s, 78L n, 1BD d, DATE'2000-01-01' day, TIMESTAMP_NTZ'2000-01-01' at, 0D x"
+    ).where(within).count() == 0
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_reference_beyond_the_delivered_range_is_not_read(spark, tmp_path, threshold, monkeypatch):
+    spark.range(1000).write.parquet(f"{tmp_path}/ref")
+    reference = spark.read.parquet(f"{tmp_path}/ref").toDF("k")
+    delivered = spark.createDataFrame([("10",), ("020",), ("x",), (None,)], "k string")
+    plans = []
+    stage = report_store.storage.stage
+    monkeypatch.setattr(
+        report_store.storage, "stage",
+        lambda df, path: plans.append(df._jdf.queryExecution().toString()) or stage(df, path),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        presence = report_store.written_presence(compare(reference, delivered, "k"), f"{tmp_path}/w")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "GreaterThanOrEqual(id,10)" in plans[-1] and "LessThanOrEqual(id,20)" in plans[-1]
+    assert ("BroadcastHashJoin" in plans[-1]) == (threshold != "-1")
+    assert sorted(r["__present"] for r in presence.collect()) == [False, False, True, True]
 
 
 def test_first_key_side_by_side(spark):
@@ -97,3 +139,20 @@ def test_one_table(spark):
 def test_work_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert storage.new_folder(spark, "x").startswith(f"{shared}/x-")
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master, applicationId = "yarn", "app"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.work_root(Session())
+    Session.sparkContext.master = "local[2]"
+    assert storage.work_root(Session()) == storage.work_root(Session())
