@@ -484,7 +484,10 @@ UNION ALL SELECT 'Percentage', 'Non Matching Data',
 
 @query(CUSTOMER_SHEETS)
 def report_all_sheets(t):
-    return one_table(report_sheets(customers(t)), 2)
+    """All sheets from one pass: the keys with their flag are written, then used three times."""
+    result = customers(t)
+    presence = storage.stage(result.presence(), storage.new_folder(t.spark, "presence"))
+    return one_table(report_sheets(result, presence), 2)
 
 
 @query(CUSTOMER_SHEETS)

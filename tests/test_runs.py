@@ -86,12 +86,16 @@ def test_all_new_drops_are_compared_once(spark, setup):
 
 
 def test_name_with_wildcards_is_taken_literally(spark, setup):
+    base = "dq_check_[ab]{1} 50%20"
     config = (setup / "in/config/dq_check_a.properties").read_text()
-    put(setup, "in/config/dq_check_[ab]{1}.properties", config)
-    put(setup, "in/dq_check_[ab]{1}.csv", "Key_No|w\n3|x\n", at=1_700_000_900)
+    put(setup, f"in/config/{base}.properties", config)
+    put(setup, f"in/{base}.csv", "Key_No|w\n3|x\n", at=1_700_000_900)
     run = job.run_newest(spark, f"{setup}/job.properties")
-    assert run.run_id.startswith("dq_check_[ab]{1}_CompareData_")
+    assert run.run_id.startswith(f"{base}_CompareData_")
     assert as_set(run.sheets["Primary Keys Data Present"].select("key_no")) == [("3",)]
+    job.run_incoming(spark, f"{setup}/job.properties", f"{setup}/cp")
+    again = read_report(spark, f"{setup}/out", f"{base}_CompareData_2023-11-14T22.28.20.0")
+    assert as_set(again["Primary Keys Data Present"].select("key_no")) == [("3",)]
 
 
 def test_missing_settings(spark, setup):
