@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowproof.llm import quality
+from rowproof.llm import minhash, quality
 from rowproof.llm.common import Steps, table
 
 
@@ -13,7 +14,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
+    judged = minhash.near_duplicates(docs, k=5, percent=80)
+    gone = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept").select(F.col("doc_id").alias("gone"))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+
+
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup)]
 
 #: SQL can't express sketches, chains, boosted trees and packing; tests hold stages against brute force.
 ORACLE_SQL = None

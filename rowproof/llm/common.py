@@ -70,12 +70,13 @@ def map_texts(
     text_col: str,
     keep: list[str],
     fields: list[tuple[str, T.DataType]],
-    make: Callable[[], Callable[[list[str | None]], Iterable[list]]],
+    make: Callable[[], Callable[[list], Iterable]],
+    as_bytes: bool = False,
 ) -> DataFrame:
     """``keep`` columns as they are, and ``fields`` computed from the texts of a batch.
 
-    ``make()`` runs once for each task and returns a function from a list of texts to
-    one list of values for each field.
+    ``make()`` runs once for each task and returns a function from a list of texts (their
+    UTF-8 bytes, if ``as_bytes``) to one list or Arrow array of values for each field.
     """
     text = fresh("text")
     schema = T.StructType(
@@ -89,10 +90,11 @@ def map_texts(
         compute = make()
         for batch in batches:
             n = batch.num_columns - 1
-            columns = compute(batch.column(n).to_pylist())
+            texts = batch.column(n).cast(pa.binary()) if as_bytes else batch.column(n)
+            columns = compute(texts.to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n)]
-                + [pa.array(v, type=k) for v, k in zip(columns, kinds, strict=True)],
+                + [v if isinstance(v, pa.Array) else pa.array(v, type=k) for v, k in zip(columns, kinds, strict=True)],
                 names=names,
             )
 

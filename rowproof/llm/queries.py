@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowproof.llm import quality, secrets
+from rowproof.llm import minhash, quality, secrets
 from rowproof.llm.common import table
 
 
@@ -18,7 +18,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_secret_scan)
+    f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op9_minhash_near_dedup)
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE}
