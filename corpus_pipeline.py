@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowproof.llm import minhash, quality
-from rowproof.llm.common import Steps, table
+from rowproof.llm import minhash, pii, quality, substring
+from rowproof.llm.common import Steps, filtered, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,11 +17,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
     judged = minhash.near_duplicates(docs, k=5, percent=80)
-    gone = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept").select(F.col("doc_id").alias("gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    gone = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept").select("doc_id")
+    return filtered(docs, "doc_id", Steps(spark, "near-copies").write(gone), "left_anti")
 
 
-STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each passage of 50 words or more that repeats, the copy in the smallest id stays."""
+    return substring.without_passages(docs)
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to the name of its kind."""
+    return pii.redact(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("redact_pii", redact_pii),
+]
 
 #: SQL can't express sketches, chains, boosted trees and packing; tests hold stages against brute force.
 ORACLE_SQL = None

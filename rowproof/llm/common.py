@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -100,3 +101,20 @@ def map_texts(
 
     picked = docs.select(*[docs[c] for c in keep], docs[text_col].alias(text))
     return picked.mapInArrow(run, schema)
+
+
+#: Ids up to this number, 8 bytes each, are broadcast to filter a table; more are joined by a shuffle.
+BROADCAST_IDS = 400_000
+
+
+def filtered(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose whole-number ``column`` is among ``ids`` (one written column), or is not.
+
+    A null id is among them if they hold a null.
+    """
+    (name,) = ids.columns
+    own = fresh(name)
+    ids = ids.select(F.col(name).alias(own)).distinct()
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, df[column].eqNullSafe(ids[own]), how)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowproof.llm.common import Steps, bounded_batches, fresh, map_texts
+from rowproof.llm.common import Steps, bounded_batches, filtered, fresh, map_texts
 from rowproof.llm.components import connected
 from rowproof.llm.hashing import WordHashes, mix, windows
 
@@ -113,10 +113,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int
 
         return compute
 
-    texts = docs.select(docs[id_col].alias("first"), docs[text_col].alias("text"))
-    texts = texts.join(wanted, texts["first"].eqNullSafe(wanted["first"]), "inner").select("node", "text")
-    found = map_texts(texts, "text", ["node"], [("own", T.LongType()), ("set", T.BinaryType())], make, as_bytes=True)
-    return found.where("own = node").dropDuplicates(["node"]).select("node", "set")
+    texts = filtered(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), "id", wanted.select("first"))
+    found = map_texts(texts, "text", [], [("node", T.LongType()), ("set", T.BinaryType())], make, as_bytes=True)
+    return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def _confirm_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -215,7 +214,7 @@ def near_duplicates(
     placed = classes.select("node", F.explode("bands").alias("band"))
     sizes = placed.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = steps.write(placed.join(sizes, "band"))
-    wanted = shared.select("node").distinct().join(classes.select("node", "first"), "node")
+    wanted = steps.write(shared.select("node").distinct().join(classes.select("node", "first"), "node"))
     sets = steps.write(_sets(docs, wanted, key, "text", k))
     listed = shared.where(F.col("size") <= small).groupBy("band").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
     pair = F.expr("explode(flatten(transform(nodes, (x, i) -> transform(slice(nodes, i + 2, size(nodes)), y -> struct(x as a, y as b)))))")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowproof.llm import minhash, pii, quality, secrets
+from rowproof.llm import minhash, pii, quality, secrets, substring
 from rowproof.llm.common import table
 
 
@@ -22,11 +22,15 @@ def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op4_pii_spans, op9_minhash_near_dedup)
+    f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op4_pii_spans, op7_repeated_passages, op9_minhash_near_dedup)
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE}
