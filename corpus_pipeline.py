@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowproof.llm import minhash, pii, quality, substring
+from rowproof.llm import minhash, packing, pii, quality, substring
 from rowproof.llm.common import Steps, filtered, table
 
 
@@ -31,11 +32,17 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redact(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of 2048, similar documents side by side; a row for each piece, with its ids."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
     ("substring_dedup", substring_dedup),
     ("redact_pii", redact_pii),
+    ("pack", pack),
 ]
 
 #: SQL can't express sketches, chains, boosted trees and packing; tests hold stages against brute force.

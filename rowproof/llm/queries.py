@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowproof.llm import minhash, pii, quality, secrets, substring
+from rowproof.llm import minhash, packing, pii, quality, secrets, substring
 from rowproof.llm.common import table
 
 
@@ -22,6 +24,12 @@ def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    crc = F.crc32("ids").alias("ids_crc32")
+    return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -31,6 +39,6 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op4_pii_spans, op7_repeated_passages, op9_minhash_near_dedup)
+    f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op4_pii_spans, op5_curve_packing, op7_repeated_passages, op9_minhash_near_dedup)
 }
 ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE}
