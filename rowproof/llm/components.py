@@ -22,14 +22,15 @@ def connected(edges: DataFrame, steps: Steps) -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written, so that the join deals out both sides anew and a hub's rows can be split
+        least = steps.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = steps.write(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = steps.write(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = steps.write(small.union(least).distinct())
         before, mark = mark, _mark(now)
-        steps.drop(steps.n - 2, steps.n - 1)
+        steps.drop(*range(steps.n - 4, steps.n))
         if mark == before:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowproof.llm import minhash, packing, pii, quality, secrets, substring
+from rowproof.llm import language, licenses, minhash, packing, pieces, pii, quality, secrets, substring, topk
 from rowproof.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode_pieces(table(spark, sf_dir, "documents"), ["doc_id"], public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.digest(encoded, "doc_id")
+
+
 def op4_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -30,15 +35,43 @@ def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op4_pii_spans, op5_curve_packing, op7_repeated_passages, op9_minhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_secret_scan,
+        op3_sentencepiece,
+        op4_pii_spans,
+        op5_curve_packing,
+        op6_language_id,
+        op7_repeated_passages,
+        op8_exact_top_k,
+        op9_minhash_near_dedup,
+        op10_license_scan,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": quality.ORACLE,
+    "op8_exact_top_k": topk.ORACLE,
+    "op10_license_scan": licenses.oracle(),
 }
-ORACLES: dict[str, str] = {"op1_quality_rules": quality.ORACLE}
