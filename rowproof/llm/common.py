@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from rowproof.storage import new_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Let Arrow batches end at 8 MB, so that long texts don't make them as large as 10,000 rows."""
+    """Let Arrow batches end at 4 MB, so that long texts don't make them as large as 10,000 rows."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

@@ -12,7 +12,7 @@ from quantiles of all keys; the key's low bits are a hash of the id, so equal te
 range after another and sorts it with spilling. The driver sees one number for each range, at most ``MAX_RANGES``.
 
 Tokens: a text is cut at spaces and line feeds, which the tokenizer never joins across, and each
-cut is tokenized once for a worker and kept, up to ``CACHE_CUTS`` cuts. This gives the ids of
+cut is tokenized once for a worker and kept: up to ``CACHE_CUTS`` cuts, and as many of those seen before. This gives the ids of
 the whole text, which tests hold against the tokenizer.
 
 Defined cases: a null or empty text is the end id alone. Every row is packed, rows that repeat an id or have none
@@ -36,7 +36,8 @@ from rowproof.llm.common import Steps, bounded_batches, fresh, map_texts
 
 LENGTH = 2048
 DIMENSIONS, BITS, HASHED = 4, 12, 256
-CACHE_CUTS = 1_000_000
+CACHE_CUTS = 250_000
+LEARNED_AT_ONCE = 8192
 RANGE_TOKENS = 16 << 20
 MAX_RANGES = 20_000
 _TIE_BITS = 63 - DIMENSIONS * BITS
@@ -52,22 +53,29 @@ class TokenCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
 
     def _learn(self, cuts: list[str]) -> None:
-        if cuts:
-            for cut, found in zip(cuts, self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False), strict=True):
+        for i in range(0, len(cuts), LEARNED_AT_ONCE):
+            part = cuts[i : i + LEARNED_AT_ONCE]
+            for cut, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[cut] = np.array(found.ids, self.type).tobytes()
 
+    def _missing(self, wanted: set[str]) -> set[str]:
+        """Those of ``wanted`` to be tokenized; what was known before is known again."""
+        new = wanted.difference(self.known)
+        again = new.intersection(self.before)
+        self.known.update((x, self.before[x]) for x in again)
+        return new - again
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known = self.known
         cuts = [x.replace("\n", " ").split(" ") if x else [] for x in texts]
-        new = set().union(*cuts).difference(known)
-        if len(known) + len(new) > CACHE_CUTS:
-            known.clear()
-            known[""] = b""
-            new = set().union(*cuts).difference(known)
+        if len(self.known) > CACHE_CUTS:
+            self.before, self.known = self.known, {"": b""}
+        known = self.known
+        new = self._missing(set().union(*cuts))
         split = {x: m.groups() for x in new if (m := _SIGNS.match(x))}
-        parts = {p for pair in split.values() for p in pair}.difference(known)
+        parts = self._missing({p for pair in split.values() for p in pair})
         self._learn([*(new - split.keys()) | parts])
         for x, (word, signs) in split.items():
             known[x] = known[word] + known[signs]
