@@ -6,6 +6,9 @@ leaving rows out: some keys are turned negative, some into null, some into odd t
 
 from __future__ import annotations
 
+import contextlib
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +24,7 @@ from rowproof.plans.report import first_key_side_by_side, key_sheet, one_table,
 from rowproof.sinks import landing, report_store
 from rowproof.sources import config, drops, tables
 from rowproof.spec import CompareSpec
-from rowproof.streaming.intake import land_drops
+from rowproof.streaming.intake import DropsFailed, handle_drops, land_drops
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,12 +54,16 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def new_database(self) -> str:
-        """A catalog database of its own, with its tables in the shared folder."""
-        folder = storage.new_folder(self.spark, "db")
-        name = "rowproof_" + folder.rsplit("-", 1)[1]
-        self.spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
+        """This session's catalog database, with its tables in the shared folder."""
+        name = "rowproof_" + re.sub("[^a-z0-9]", "_", self.spark.sparkContext.applicationId.lower())
+        if not self.spark.catalog.databaseExists(name):
+            self.spark.sql(f"CREATE DATABASE {name} LOCATION '{storage.new_folder(self.spark, 'db')}'")
         return name
 
+    def new_table(self, name: str) -> str:
+        """Full name of a table that nothing has used yet."""
+        return f"{self.new_database()}.{name}_{uuid.uuid4().hex}"
+
 
 # --- pairs, and the same pairs in SQL as r (reference) and d (delivered) ----------------
 
@@ -568,22 +575,20 @@ def view_scan(t):
 
 @query("SELECT * FROM customer")
 def catalog_table(t):
-    database = t.new_database()
-    t.spark.sql(
-        f"CREATE TABLE {database}.customer USING parquet LOCATION '{t.folder}/customer.parquet'"
-    )
-    return tables.catalog_table(t.spark, database, "customer")
+    name = t.new_table("customer")
+    t.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{t.folder}/customer.parquet'")
+    return tables.catalog_table(t.spark, *name.split("."))
 
 
 @query("SELECT * FROM orders")
 def managed_table(t):
-    return landing.land_managed(t["orders"], f"{t.new_database()}.orders")
+    return landing.land_managed(t["orders"], t.new_table("orders"))
 
 
 @query("SELECT * FROM part")
 def empty_clone(t):
     """An empty table of the same columns, then filled with all rows."""
-    name = f"{t.new_database()}.part"
+    name = t.new_table("part")
     landing.land_managed(landing.empty_clone(t["part"]), name)
     t["part"].write.insertInto(name)
     return t.spark.table(name)
@@ -600,7 +605,7 @@ def external_table(t):
     )
     path = landing.write_delimited(delivered, storage.new_folder(t.spark, "drop"), "|")
     read = tables.delimited(t.spark, path, "|")
-    return landing.land_external(t.spark, read, f"{t.new_database()}.orders", path, "|")
+    return landing.land_external(t.spark, read, t.new_table("orders"), path, "|")
 
 
 @query(
@@ -621,9 +626,9 @@ def delimited_roundtrip(t):
 @query(ORDERS_LINEITEM + _counts("order_key") + _summary(2, 2))
 def text_drop(t):
     """A delivered text file against a typed catalog table, by settings and column comment."""
-    database = t.new_database()
+    database, name = t.new_table("orders").split(".")
     t.spark.sql(
-        f"CREATE TABLE {database}.orders "
+        f"CREATE TABLE {database}.{name} "
         "(o_orderkey BIGINT COMMENT 'Order_Key', o_orderstatus STRING) "
         f"USING parquet LOCATION '{t.folder}/orders.parquet'"
     )
@@ -632,7 +637,7 @@ def text_drop(t):
     values = {
         settings.PRIMARY_KEYS: "order_key",
         settings.REFERENCE_DATABASE: database,
-        settings.REFERENCE_TABLE: "orders",
+        settings.REFERENCE_TABLE: name,
         settings.DELIVERED_DELIMITER: "|",
     }
     return compare_drop(t.spark, path, values).summary()
@@ -678,7 +683,7 @@ def config_first_rows(t):
     lines = t["events"].select(
         F.col("event_type").alias("source"), F.col("event_id").alias("line_no"), line.alias("line")
     )
-    return config.sheet_entries(config.first_lines(lines), legacy=True)
+    return config.sheet_entries(config.first_lines(lines, settings.SETTINGS_ROWS), legacy=True)
 
 
 @query(
@@ -711,6 +716,111 @@ def config_file(t):
     return config.properties_entries(config.text_lines(t.spark, path)).select("key", "value")
 
 
+TEXT_PRICES = """
+WITH p AS (SELECT CAST(CASE WHEN o_orderpriority = '5-LOW' THEN -o_totalprice ELSE o_totalprice END
+                       AS DECIMAL(14,2)) AS moved, o_orderstatus FROM orders),
+     d AS (SELECT moved, CAST(moved AS VARCHAR) || CASE o_orderstatus WHEN 'F' THEN '' WHEN 'O' THEN '00'
+                         ELSE '4' END AS spelling, o_orderstatus IN ('F', 'O') AS exact FROM p)
+SELECT min(spelling) AS price,
+       exact AND moved IN (SELECT CAST(o_totalprice AS DECIMAL(14,2)) FROM orders) AS present
+FROM d GROUP BY exact, moved, CASE WHEN NOT exact THEN spelling END
+"""
+
+
+@query(TEXT_PRICES)
+def keys_text_decimal(t):
+    """Prices as decimals against texts: as they are, with zeros behind, and with a digit too much."""
+    price = F.col("o_totalprice").cast("decimal(14,2)")
+    moved = F.when(F.col("o_orderpriority") == "5-LOW", -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
+    end = F.when(F.col("o_orderstatus") == "F", "").when(F.col("o_orderstatus") == "O", "00").otherwise("4")
+    spelled = F.concat(moved.cast("decimal(14,2)").cast("string"), end)
+    return compare(
+        t["orders"].select(price.alias("price")), t["orders"].select(spelled.alias("price")), "price"
+    ).keys_found()
+
+
+TEXT_DAYS = """
+WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, strftime(o_orderdate, '%Y-%m-%d') || CASE
+                    WHEN o_orderpriority = '5-LOW' THEN ' 10:30:00'
+                    WHEN o_orderstatus = 'O' THEN ' 00:00:00' ELSE '' END AS spelling,
+                  o_orderpriority <> '5-LOW' AS exact FROM orders)
+SELECT min(spelling) AS day, exact AS present FROM d
+GROUP BY exact, day, CASE WHEN NOT exact THEN spelling END
+"""
+
+
+@query(TEXT_DAYS)
+def keys_text_date(t):
+    """Days against texts: alone, at midnight, and at a time within the day."""
+    time = (
+        F.when(F.col("o_orderpriority") == "5-LOW", " 10:30:00")
+        .when(F.col("o_orderstatus") == "O", " 00:00:00")
+        .otherwise("")
+    )
+    spelled = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), time)
+    reference = t["orders"].select(F.col("o_orderdate").cast("date").alias("day"))
+    return compare(reference, t["orders"].select(spelled.alias("day")), "day").keys_found()
+
+
+@query(
+    """SELECT l_orderkey || '|' || l_linenumber ||
+       CASE WHEN l_returnflag = 'R' THEN '|' || l_quantity::INTEGER || '|more' ELSE '' END AS line
+FROM lineitem WHERE l_returnflag IN ('R', 'A')"""
+)
+def delimited_rejects(t):
+    """Line items as text lines of three cells; returned ones have four, and accepted ones two."""
+    cells = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_quantity").cast("int")]
+    more = F.when(F.col("l_returnflag") == "R", F.concat_ws("|", *cells, F.lit("more")))
+    line = more.when(F.col("l_returnflag") == "A", F.concat_ws("|", *cells[:2])).otherwise(F.concat_ws("|", *cells))
+    lines = t["lineitem"].select(line.alias("order|line|quantity"))
+    path = storage.new_folder(t.spark, "drop")
+    lines.write.options(header=True, sep="\x01").csv(path)
+    return tables.rejected_lines(t.spark, path, "|").select("line")
+
+
+@query(
+    CUSTOMERS
+    + f"""SELECT 'one' AS run_id, 'c_custkey' AS key_names, CAST(c_custkey AS VARCHAR) AS key_values
+FROM (SELECT DISTINCT c_custkey FROM r WHERE {_has("d", "c_custkey", of="r")}) q
+UNION ALL SELECT 'two', 'c_nationkey,c_mktsegment', n || ',' || c_mktsegment
+FROM (SELECT DISTINCT r.c_nationkey AS n, r.c_mktsegment FROM r JOIN d USING (c_nationkey, c_mktsegment)) q"""
+)
+def report_two_runs(t):
+    """Keys present of two reports with other keys, read together."""
+    folder, sides = storage.new_folder(t.spark, "report"), customers(t)
+    for run_id, key_list in (("one", "c_custkey"), ("two", "c_nationkey,c_mktsegment")):
+        report_store.write_report(compare(sides.reference, sides.delivered, key_list), folder, run_id)
+    sheet = report_store.read_all(t.spark, folder, settings.SHEET_KEYS_PRESENT)
+    return sheet.select("run_id", *[F.array_join(c, ",").alias(c) for c in ("key_names", "key_values")])
+
+
+@query("SELECT event_id, CAST(2 AS BIGINT) AS times FROM events")
+def intake_redelivered(t):
+    """All events delivered as files and delivered again under the same names, beside an unreadable drop.
+
+    Half of the files come with times long past. Every event is taken once for each delivery.
+    """
+    root = storage.new_folder(t.spark, "intake")
+    landing.write_delimited(t["events"].select("event_id", "event_type"), f"{root}/incoming")
+    t.spark.range(1).write.mode("append").parquet(f"{root}/incoming")
+    path = t.spark._jvm.org.apache.hadoop.fs.Path(f"{root}/incoming")
+    store = path.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    files = [f.getPath() for f in store.listStatus(path) if f.getPath().getName().startswith("part-")]
+
+    def take(drop):
+        if drop["name"].endswith(".parquet"):
+            raise ValueError("no delimited text")
+        rows = tables.delivered_table(t.spark, storage.literal_path(drop["path"]))
+        rows.select(F.col("event_id").cast("bigint")).write.mode("append").parquet(f"{root}/landed")
+
+    for hours in (1, 2):
+        for i, file in enumerate(files):
+            store.setTimes(file, (hours + 10_000 * (i % 2)) * 3_600_000, -1)
+        with contextlib.suppress(DropsFailed):
+            handle_drops(t.spark, f"{root}/incoming", take, f"{root}/ledger", prefix="part-")
+    return t.spark.read.parquet(f"{root}/landed").groupBy("event_id").agg(F.count(F.lit(1)).alias("times"))
+
+
 # --- names and orders -------------------------------------------------------------------
 
 
@@ -729,7 +839,7 @@ def folder_from_path(t):
 
 
 @query(
-    r"""SELECT event_id, 'dq_check_' || event_type || '_CompareData_' ||
+    rf"""SELECT event_id, 'dq_check_' || event_type || '{settings.RUN_NAME_PART}' ||
        regexp_replace(strftime(ts, '%Y-%m-%dT%H.%M.%S.%g'), '(\.\d+?)0+$', '\1') AS run_id
 FROM events"""
 )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rowproof import settings
+
 
 def file_name(path: Column) -> Column:
     """Part of a path behind its last slash or backslash; empty if nothing follows."""
@@ -20,7 +22,7 @@ def table_name(path: Column, reference_table: Column | str) -> Column:
     """Table name for a delivered file; ``<reference table>_CSV`` if the path names no file."""
     fallback = F.lit(reference_table) if isinstance(reference_table, str) else reference_table
     name = F.coalesce(file_name(path), F.lit(""))
-    return F.when(name == "", F.concat(fallback, F.lit("_CSV"))).otherwise(base_name(name))
+    return F.when(name == "", F.concat(fallback, F.lit(settings.TABLE_NAME_END))).otherwise(base_name(name))
 
 
 def folder_of(path: Column, strict: bool = False) -> Column:
@@ -40,6 +42,14 @@ def run_name(file: Column, at: Column) -> Column:
 
     The time has milliseconds without trailing zeros, but one digit at least.
     """
+    return F.concat(base_name(file), F.lit(settings.RUN_NAME_PART), _stamp(at))
+
+
+def run_key(file: Column, at: Column) -> Column:
+    """``run_name`` with all of the file name, so that no two drops share one."""
+    return F.concat(file, F.lit(settings.RUN_NAME_PART), _stamp(at))
+
+
+def _stamp(at: Column) -> Column:
     stamp = F.date_format(at, "yyyy-MM-dd'T'HH.mm.ss.SSS")
-    stamp = F.regexp_replace(stamp, r"(\.\d+?)0+$", "$1")
-    return F.concat(base_name(file), F.lit("_CompareData_"), stamp)
+    return F.regexp_replace(stamp, r"(\.\d+?)0+$", "$1")

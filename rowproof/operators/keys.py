@@ -4,7 +4,7 @@ Two plan shapes, both without any hint:
 
 * ``tally`` and ``key_sides`` mark the key columns of both sides, union them and group
   once. One shuffle serves all three results; hot keys are combined before it.
-* For a small delivered side, the reference is first reduced to the delivered keys by a semi
+* On request, for a small delivered side, the reference is first reduced to the delivered keys by a semi
   join: as long as Spark finds these small enough to broadcast, no unmatched reference row
   is shuffled, and beyond that the same plan runs as a sort-merge join of two distinct
   sides. For a delivered side known to be large the reduction is left out, since it would
@@ -146,7 +146,7 @@ def _typed_sides(pair: KeyPair) -> DataFrame:
     return key_sides(replace(pair, delivered=typed, mixed=()))
 
 
-def keys_present(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
+def keys_present(pair: KeyPair, small_delivered: bool = False) -> DataFrame:
     """Keys on both sides. A null key part matches nothing."""
     if small_delivered:
         return distinct_reference(pair).join(_wanted(pair), list(pair.keys), "left_semi")
@@ -164,7 +164,7 @@ def keys_reference_only(pair: KeyPair) -> DataFrame:
     return _typed_sides(pair).where(lacking).select(*pair.typed_keys())
 
 
-def presence(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
+def presence(pair: KeyPair, small_delivered: bool = False) -> DataFrame:
     """Each distinct delivered key with a flag ``__present``.
 
     The key columns are in the pair's internal form; see ``present_keys`` and ``absent_keys``.
@@ -173,7 +173,7 @@ def presence(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
     send all delivered values without a typed form to one task, as they share the null key.
     """
     if small_delivered:
-        pair = replace(pair, reference=keys_present(pair))
+        pair = replace(pair, reference=keys_present(pair, small_delivered=True))
     delivered = key_sides(pair, spelling=True).where("__on_delivered")
     return delivered.withColumn(PRESENT, F.col("__on_reference") & whole(pair)).drop(
         "__on_reference", "__on_delivered"
@@ -188,7 +188,7 @@ def absent_keys(presence_frame: DataFrame, pair: KeyPair) -> DataFrame:
     return presence_frame.where(~F.col(PRESENT)).select(*pair.delivered_keys())
 
 
-def keys_delivered_only(pair: KeyPair, small_delivered: bool = True) -> DataFrame:
+def keys_delivered_only(pair: KeyPair, small_delivered: bool = False) -> DataFrame:
     """Delivered keys that the reference lacks, as delivered."""
     return absent_keys(presence(pair, small_delivered), pair)
 
@@ -214,10 +214,10 @@ def _union(
 
 def tally(pair: KeyPair) -> DataFrame:
     """Each distinct key of either side with its row counts ``__n_reference, __n_delivered``."""
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    marked = _union(pair, {"__n_reference": (one, zero), "__n_delivered": (zero, one)})
+    yes, no = F.lit(True), F.lit(None).cast("boolean")
+    marked = _union(pair, {"__n_reference": (yes, no), "__n_delivered": (no, yes)})
     return marked.groupBy(*pair.grouping).agg(
-        F.sum("__n_reference").alias("__n_reference"), F.sum("__n_delivered").alias("__n_delivered")
+        *[F.count(n).alias(n) for n in ("__n_reference", "__n_delivered")]
     )
 
 

@@ -24,14 +24,13 @@ def key_sheet(key_rows: DataFrame, legacy: bool = False) -> DataFrame:
 
 
 def report_sheets(
-    comparison: Comparison, presence: DataFrame | None = None, legacy: bool = False
+    comparison: Comparison, presence: DataFrame, legacy: bool = False
 ) -> dict[str, DataFrame]:
     """The sheets by title, in the report's order.
 
-    Three of them derive from ``presence``: pass a written one to run the join only once.
+    Three of them derive from ``presence``: pass a written one, so that the keys are compared once.
     """
     pair = comparison.pair
-    presence = comparison.presence() if presence is None else presence
     return {
         settings.SHEET_COLUMN_COUNTS: comparison.column_counts(),
         settings.SHEET_COLUMNS: comparison.columns_side_by_side(),
@@ -66,7 +65,7 @@ def one_table(sheets: dict[str, DataFrame], width: int) -> DataFrame:
 def first_key_side_by_side(comparison: Comparison, legacy: bool = False) -> DataFrame:
     """First key of the keys present and not present, next to each other by row number.
 
-    Either list is sorted by all its keys; the shorter one is padded with ``''``. The keys
+    Runs jobs when called: it writes the flagged keys and numbers them. Either list is sorted by all its keys; the shorter one is padded with ``''``. The keys
     are written once, so that both lists come from one pass over the two sides.
     """
     pair, first, order = comparison.pair, comparison.spec.keys[0], list(comparison.spec.keys)

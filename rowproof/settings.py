@@ -4,17 +4,18 @@
 PRIMARY_KEYS = "primary.keys"
 REFERENCE_DATABASE = "hive.database"
 REFERENCE_TABLE = "hive.table"
-DELIVERED_DATABASE = "csv.database"
-DELIVERED_PATH = "csv.file.path"
 DELIVERED_DELIMITER = "csv.delimiter"
 OUTPUT_PATH = "output.path"
 DROP_FOLDER = "source.file.path"
 ARCHIVE_FOLDER = "archive.directory"
 
-# Name of the view over the delivered table, drop prefix, settings rows read.
+# Name of the view over the delivered table, drop prefix, lines of a settings
+# sheet that a legacy run reads, and parts of names.
 DELIVERED_VIEW = "csv_temp_table"
 DROP_PREFIX = "dq_check_"
 SETTINGS_ROWS = 110
+RUN_NAME_PART = "_CompareData_"
+TABLE_NAME_END = "_CSV"
 
 # Titles of the report sheets, and the labels in them.
 SHEET_COLUMN_COUNTS = "Column Counts"

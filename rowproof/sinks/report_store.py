@@ -23,12 +23,22 @@ FOLDERS = {
     settings.SHEET_PERCENT: "percentage",
 }
 
-# Delivered keys up to this size in total are sent to all executors; measured, not guessed.
+KEY_SHEETS = (settings.SHEET_KEYS_PRESENT, settings.SHEET_KEYS_ABSENT)
+_KEYS = "key_names array<string>, key_values array<string>"
+SCHEMAS = {
+    settings.SHEET_COLUMN_COUNTS: "table_type string, n_columns int",
+    settings.SHEET_COLUMNS: "row_no int, present string, not_present string",
+    settings.SHEET_KEYS_PRESENT: _KEYS,
+    settings.SHEET_KEYS_ABSENT: _KEYS,
+    settings.SHEET_PERCENT: "type string, percentage string",
+}
+
+# Delivered keys up to this size in total are sent to all executors, by default; measured, not guessed.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 24
 
 
-def _run_folder(path: str, folder: str, run_id: str) -> str:
+def sheet_folder(path: str, folder: str, run_id: str) -> str:
     return f"{path.rstrip('/')}/{folder}/run_id={quote(run_id, safe=' +,@~()')}"
 
 
@@ -80,10 +90,14 @@ def measure_keys(key_rows: DataFrame) -> KeySizes:
 
 
 def _broadcast_allowed(spark: SparkSession) -> bool:
-    return not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    """Whether the session has broadcast joins on: -1 and 0 turn them off."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    return not threshold.startswith("-") and bool(threshold.strip("0bkmgtp"))
 
 
-def written_presence(comparison: Comparison, folder: str) -> DataFrame:
+def written_presence(
+    comparison: Comparison, folder: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """``presence`` of a comparison, written below ``folder`` and read back.
 
     The distinct delivered keys are written first, so their size and range are known
@@ -101,31 +115,68 @@ def written_presence(comparison: Comparison, folder: str) -> DataFrame:
     reference = pair.reference
     if sizes.within is not None:
         reference = reference.where(sizes.within)
-    if _broadcast_allowed(delivered.sparkSession) and sizes.total_bytes <= BROADCAST_BYTES:
+    if _broadcast_allowed(delivered.sparkSession) and sizes.total_bytes <= broadcast_bytes:
         reference = reference.join(F.broadcast(wanted), list(pair.keys), "left_semi")
     pair = replace(pair, delivered=delivered, reference=reference)
     return storage.stage(keys.presence(pair, small_delivered=False), f"{folder}/presence")
 
 
+def _stored(title: str, sheet: DataFrame) -> DataFrame:
+    """A sheet as it is stored: key sheets in one form for all key lists."""
+    if title not in KEY_SHEETS:
+        return sheet
+    names = sheet.columns
+    return sheet.select(
+        F.array(*[F.lit(n) for n in names]).alias("key_names"),
+        F.array(*[quoted(n) for n in names]).alias("key_values"),
+    )
+
+
+def wide_keys(sheet: DataFrame, key_names: tuple[str, ...] | list[str]) -> DataFrame:
+    """A stored key sheet with a column for each of these keys, besides ``run_id``."""
+    values = [F.get("key_values", F.lit(i)).alias(n) for i, n in enumerate(key_names)]
+    return sheet.select(*values, "run_id")
+
+
 def write_report(
-    comparison: Comparison, path: str, run_id: str, legacy: bool = False
+    comparison: Comparison,
+    path: str,
+    run_id: str,
+    legacy: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> dict[str, DataFrame]:
     """Write the five sheets of a run below ``path`` and return them as read back.
 
-    Each source is read once. Writing a run again replaces it, so a repeated run is safe.
+    Each source is read once. Writing a run again replaces it, so a repeated run is safe. What
+    is written on the way is deleted when the sheets are there.
     """
     keys.require_free(comparison.pair, "run_id")
-    presence = written_presence(comparison, _run_folder(path, "_work", run_id))
+    spark, work = comparison.reference.sparkSession, sheet_folder(path, "_work", run_id)
+    presence = written_presence(comparison, work, broadcast_bytes)
     for title, sheet in report_sheets(comparison, presence, legacy).items():
-        sheet.write.mode("overwrite").parquet(_run_folder(path, FOLDERS[title], run_id))
-    return read_report(comparison.reference.sparkSession, path, run_id)
+        stored = _stored(title, sheet)
+        stored.write.mode("overwrite").parquet(sheet_folder(path, FOLDERS[title], run_id))
+    storage.remove(spark, work)
+    return read_report(spark, path, run_id, comparison.spec.keys)
 
 
 def read_sheet(spark: SparkSession, path: str, title: str, run_id: str) -> DataFrame:
     """One sheet of a run with its ``run_id``."""
-    sheet = spark.read.parquet(_run_folder(path, FOLDERS[title], run_id))
+    sheet = spark.read.parquet(sheet_folder(path, FOLDERS[title], run_id))
     return sheet.withColumn("run_id", F.lit(run_id))
 
 
-def read_report(spark: SparkSession, path: str, run_id: str) -> dict[str, DataFrame]:
-    return {title: read_sheet(spark, path, title, run_id) for title in FOLDERS}
+def read_all(spark: SparkSession, path: str, title: str) -> DataFrame:
+    """One sheet of all runs. Key sheets hold ``key_names`` and ``key_values``, whatever a run's keys."""
+    folder = f"{path.rstrip('/')}/{FOLDERS[title]}"
+    return spark.read.schema(SCHEMAS[title] + ", run_id string").parquet(folder)
+
+
+def read_report(
+    spark: SparkSession, path: str, run_id: str, key_names: tuple[str, ...] | None = None
+) -> dict[str, DataFrame]:
+    """All sheets of a run; with ``key_names``, its key sheets have a column for each key."""
+    sheets = {title: read_sheet(spark, path, title, run_id) for title in FOLDERS}
+    if key_names:
+        sheets |= {title: wide_keys(sheets[title], key_names) for title in KEY_SHEETS}
+    return sheets

@@ -30,7 +30,7 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def first_lines(lines: DataFrame, n: int = settings.SETTINGS_ROWS) -> DataFrame:
+def first_lines(lines: DataFrame, n: int) -> DataFrame:
     """The first ``n`` lines of each source."""
     by_line = Window.partitionBy("source").orderBy("line_no")
     return (
@@ -68,11 +68,38 @@ def sheet_entries(lines: DataFrame, legacy: bool = False) -> DataFrame:
     )
 
 
+class UnreadableSettings(ValueError):
+    """Settings hold lines that are none."""
+
+
+def require_readable(rejects: DataFrame, where: str) -> None:
+    """Raise, naming a few of the lines, if there are any."""
+    found = [row["line"] for row in rejects.select("line").limit(5).collect()]
+    if found:
+        raise UnreadableSettings(f"{where}: lines that are no settings, such as {found}")
+
+
+def legacy_lines(lines: DataFrame) -> DataFrame:
+    """The lines a legacy run reads; more lines than those in a source are an error."""
+    kept = first_lines(lines, settings.SETTINGS_ROWS + 1)
+    beyond = kept.groupBy("source").count().where(F.col("count") > settings.SETTINGS_ROWS)
+    if not beyond.isEmpty():
+        raise UnreadableSettings(f"settings have more than {settings.SETTINGS_ROWS} lines")
+    return kept
+
+
 def sheet_rejects(lines: DataFrame) -> DataFrame:
     """Lines that the sheet dialect cannot read: those without ``=``."""
     return lines.where(~F.coalesce(F.col("line").contains("="), F.lit(False)))
 
 
+def properties_rejects(lines: DataFrame) -> DataFrame:
+    """Lines that the properties dialect cannot read: no comment, not blank, without ``=``."""
+    stripped = _without_margin(F.col("line"))
+    comment = stripped.startswith("#") | stripped.startswith("!")
+    return lines.where((F.trim(stripped) != "") & ~comment & ~stripped.contains("="))
+
+
 def _without_margin(column: Column) -> Column:
     return F.ltrim(column, F.lit(_BLANKS))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rowproof import settings
-from rowproof.functions.names import file_name, run_name
+from rowproof.functions.names import file_name, run_key
 
 
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,7 +55,7 @@ def find_newest_drop(
     at = F.current_timestamp() if at is None else at
     found = (
         newest_drop(listing, prefix=prefix)
-        .withColumn("run_id", run_name(F.col("name"), at))
+        .withColumn("run_id", run_key(F.col("name"), at))
         .head()
     )
     if found is None:

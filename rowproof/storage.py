@@ -45,6 +45,35 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, store = _file_system(spark, path)
+    return store.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library has written."""
+    at, store = _file_system(spark, path)
+    store.delete(at, True)
+
+
+def move(spark: SparkSession, path: str, folder: str, second_folder: str) -> str:
+    """Move a file into ``folder``, or into ``second_folder`` if there is one of its name already."""
+    at, store = _file_system(spark, path)
+    for target in (folder, second_folder):
+        place = spark._jvm.org.apache.hadoop.fs.Path(target, at.getName())
+        store.mkdirs(place.getParent())
+        if not store.exists(place):
+            if not store.rename(at, place):
+                raise OSError(f"cannot move {path} to {target}")
+            return place.toString()
+    raise FileExistsError(f"{path} is in the archive already")
+
+
 def literal_path(path: str) -> str:
     """A path for Spark readers in which ``[``, ``{``, ``*`` and ``?`` stand for themselves."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

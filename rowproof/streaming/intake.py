@@ -1,23 +1,27 @@
-"""Picking up delivered files as they arrive, each exactly once, and archiving them.
+"""Picking up delivered files as they arrive, and archiving them.
 
-The streaming file source keeps the list of files already taken in its checkpoint and moves
-them to the archive folder when a later batch is committed. So the files of a run's last
-batch are archived by the next run that finds new ones; until then they stay in the drop
-folder, but are not taken again.
+``handle_drops`` keeps a ledger of the drops it has handled, by path, modification time and
+length. ``land_drops`` appends feeds whose files never change: the streaming file source keeps
+the list of paths already taken in its checkpoint and moves files to the archive folder when a
+later batch is committed, so the files of a run's last batch are archived by the next run that
+finds new ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowproof import settings
-from rowproof.functions.names import file_name, run_name
+from rowproof import settings, storage
+from rowproof.functions.names import file_name, run_key
+from rowproof.sources import drops
 
-_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+# Files are taken however late they come; Spark's own limit is seven days behind the newest.
+_ANY_AGE = "36500d"
 
 
 def any_case_glob(prefix: str) -> str:
@@ -26,7 +30,11 @@ def any_case_glob(prefix: str) -> str:
 
 
 def _source_options(prefix: str, archive: str | None, files_per_batch: int) -> dict:
-    options = {"pathGlobFilter": any_case_glob(prefix), "maxFilesPerTrigger": files_per_batch}
+    options = {
+        "pathGlobFilter": any_case_glob(prefix),
+        "maxFilesPerTrigger": files_per_batch,
+        "maxFileAge": _ANY_AGE,
+    }
     if archive:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
     return options
@@ -45,7 +53,8 @@ def land_drops(
 ) -> DataFrame:
     """Append the rows of all new drops of one schema to the Parquet table ``landed``.
 
-    Takes what is there now, then stops, and returns all that has been landed so far.
+    Takes what is there now, then stops, and returns all that has been landed so far. A path is
+    taken once: where files are delivered again under their old names, use ``handle_drops``.
     """
     incoming = (
         spark.readStream.format("csv")
@@ -62,42 +71,88 @@ def land_drops(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(landed)
+    return spark.read.schema(incoming.schema).parquet(landed)
+
+
+class DropsFailed(RuntimeError):
+    """Some drops could not be handled; the ledger has their errors."""
+
+
+LEDGER = "path string, modificationTime timestamp, length bigint, name string, run_id string, outcome string, error string, taken_at timestamp"
+DONE, FAILED = "done", "failed"
+_IDENTITY = ["path", "modificationTime", "length"]
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """What has been handled, with the outcome; empty before the first drop."""
+    if not storage.exists(spark, ledger):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(ledger)
+
+
+def new_drops(
+    spark: SparkSession, folder: str, ledger: str, prefix: str = settings.DROP_PREFIX, retry_failed: bool = False
+) -> DataFrame:
+    """Drops that the ledger doesn't know by path, modification time and length.
+
+    A file delivered again under its old name is new, and so is one that is older than those
+    taken before. With ``retry_failed``, drops that failed are new too.
+    """
+    known = read_ledger(spark, ledger)
+    known = known.where(F.col("outcome") == DONE) if retry_failed else known
+    found = drops.list_folder(spark, folder).withColumn("name", file_name(F.col("path")))
+    found = found.where(F.lower("name").startswith(prefix.lower()))
+    found = found.withColumn("run_id", run_key(F.col("name"), F.col("modificationTime")))
+    return found.join(known.select(*_IDENTITY).distinct(), _IDENTITY, "left_anti")
 
 
 def handle_drops(
     spark: SparkSession,
     folder: str,
     handle: Callable[[Row], None],
-    checkpoint: str,
+    ledger: str,
     archive: str | None = None,
     prefix: str = settings.DROP_PREFIX,
     files_per_batch: int = 10,
-) -> None:
-    """Call ``handle`` for every new drop, newest first within a batch, then stop.
+    retry_failed: bool = False,
+) -> DataFrame:
+    """Call ``handle`` for every new drop, newest first, and return their rows of the ledger.
 
-    The stream carries only ``(path, name, modificationTime, run_id)``; ``handle`` reads the file as
-    a batch source, split over tasks. At most ``files_per_batch`` rows reach the driver at a
-    time. A failed batch is repeated, so ``handle`` must be safe to repeat for a drop.
+    A drop that fails is written to the ledger with its error, and the others go on; at the end
+    ``DropsFailed`` names them. ``handle`` gets ``(path, modificationTime, length, name, run_id)`` and reads the file
+    as a batch source, split over tasks. The ledger is appended after each ``files_per_batch`` drops, so after a
+    crash some drops are handled again: ``handle`` must be safe to repeat. Exactly the drops
+    that were handled well are moved to ``archive``.
     """
-    incoming = (
-        spark.readStream.format("binaryFile")
-        .schema(_LISTING)
-        .options(**_source_options(prefix, archive, files_per_batch))
-        .option("latestFirst", True)
-        .load(folder)
-        .select("path", file_name(F.col("path")).alias("name"), "modificationTime")
-        .withColumn("run_id", run_name(F.col("name"), F.col("modificationTime")))
+    taken = storage.stage(
+        new_drops(spark, folder, ledger, prefix, retry_failed), storage.new_folder(spark, "drops")
     )
-
-    def each_drop(batch: DataFrame, _batch_id: int) -> None:
-        for drop in batch.orderBy(F.desc("modificationTime"), F.desc("name")).collect():
+    start = datetime.now()
+    batch: list[tuple] = []
+    failed: list[str] = []
+
+    def record() -> None:
+        if batch:
+            spark.createDataFrame(batch, LEDGER).coalesce(1).write.mode("append").parquet(ledger)
+            batch.clear()
+
+    ordered = taken.orderBy(F.desc("modificationTime"), F.desc("name"))
+    for drop in ordered.toLocalIterator():
+        error = None
+        try:
             handle(drop)
-
-    query = (
-        incoming.writeStream.foreachBatch(each_drop)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+            if archive:
+                again = f"{archive.rstrip('/')}/{drop['run_id'].rsplit(settings.RUN_NAME_PART, 1)[1]}"
+                storage.move(spark, drop["path"], archive, again)
+        except Exception as problem:  # noqa: BLE001 - one bad drop must not stop the others
+            error = f"{type(problem).__name__}: {problem}"
+            failed.append(drop["name"])
+        outcome = DONE if error is None else FAILED
+        batch.append((*(drop[c] for c in (*_IDENTITY, "name", "run_id")), outcome, error, datetime.now()))
+        if len(batch) >= files_per_batch:
+            record()
+    record()
+    if failed:
+        raise DropsFailed(f"{len(failed)} drops failed, such as {failed[:5]}; see {ledger}")
+    done = read_ledger(spark, ledger).where(F.col("taken_at") >= F.lit(start))
+    return done.join(taken.select(*_IDENTITY), _IDENTITY, "left_semi")

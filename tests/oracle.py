@@ -70,7 +70,7 @@ if __name__ == "__main__":
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(folder), 0
-    wanted = sys.argv[2:] or list(entry.queries())
+    wanted = sys.argv[2:] or list(entry.oracle_sql())
     for name in wanted:
         start = time.time()
         try:

@@ -54,27 +54,30 @@ def test_percentage_sheet(spark, case):
     ]
 
 
-def test_report_sheets_of_first_pair(spark):
-    reference, delivered = PAIRS["f1"].frames(spark)
-    sheets = report_sheets(compare(reference, delivered, "P1,P2"))
+def test_report_sheets_of_the_tours(spark):
+    reference, delivered = PAIRS["tours"].frames(spark)
+    result = compare(reference, delivered, "Depot,Mode")
+    sheets = report_sheets(result, result.presence())
     assert list(sheets) == [
         "Column Counts", "CSV Columns", "Primary Keys Data Present",
         "Primary Keys Not Present", "Percentage",
     ]
     rows = {title: [tuple(r) for r in sheet.collect()] for title, sheet in sheets.items()}
-    assert rows["Column Counts"] == [("Hive Table", 6), ("CSV Table", 7)]
+    assert rows["Column Counts"] == [("Hive Table", 5), ("CSV Table", 8)]
     assert rows["CSV Columns"] == [
-        (1, "p1", "c7"), (2, "p2", "c8"), (3, "p3", "c9"), (4, "c4", ""),
+        (1, "depot", "returned"), (2, "mode", "tolls"), (3, "stops", "crew"), (4, "crates", "minutes"),
     ]
     assert sorted(rows["Primary Keys Data Present"]) == [
-        ("a", "A"), ("b", "B"), ("c", "C"), ("d", "D"),
+        ("harbor", "ship"), ("north", "rail"), ("north", "road"), ("south", "rail"), ("south", "road"),
     ]
-    assert sorted(rows["Primary Keys Not Present"]) == [("g", "G"), ("h", "H"), ("i", "I")]
-    assert rows["Percentage"] == [("Matching Data", "57.14%"), ("Non Matching Data", "42.86%")]
+    assert sorted(rows["Primary Keys Not Present"]) == [
+        ("", "road"), ("harbor", "rail"), ("quarry", "road"),
+    ]
+    assert rows["Percentage"] == [("Matching Data", "62.5%"), ("Non Matching Data", "37.5%")]
 
 
-@pytest.mark.parametrize("name", ["f2", "f3", "f4"])
+@pytest.mark.parametrize("name", ["parcels", "drivers", "hot"])
 def test_other_pairs_refuse_keys_of_the_first(spark, name):
     reference, delivered = PAIRS[name].frames(spark)
-    with pytest.raises(MissingKeys, match="reference side lacks .*p1.*delivered side lacks .*p1"):
-        compare(reference, delivered, "P1,P2")
+    with pytest.raises(MissingKeys, match="reference side lacks .*depot.*delivered side lacks .*depot"):
+        compare(reference, delivered, "Depot,Mode")

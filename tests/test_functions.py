@@ -101,3 +101,24 @@ def test_text_as_integer_is_try_cast(spark, kind):
     ).collect()
     assert [r for r in rows if r.a != r.b] == []
     assert sum(r.a is not None for r in rows) > 50
+
+
+@pytest.mark.parametrize(
+    "kind,exact,other",
+    [
+        ("decimal(10,2)", ["1.01", "1.010", " 1.01", "+1.01", "101e-2"], ["1.005", "1.0100001", "1.0149e0", "x", "1e-30"]),
+        ("date", ["2024-01-31", "2024-01-31 00:00:00", "2024-01-31T00:00"], ["2024", "2024-01", "2024-01-31 10:00:00", "2024-01-31x"]),
+        ("boolean", ["true", "TRUE", " True "], ["1", "t", "yes", "0"]),
+        ("timestamp_ntz", ["2024-01-31", "2024-01-31 10:00:00.5"], ["2024-01", "10:00", "2024-01-31 10:00:00+02:00", "2024-01-31 10:00:00.1234567"]),
+        ("timestamp", ["2024-01-31 10:00:00", "2024-01-31 10:00:00+02:00", "2024-01-31 10:00:00 UTC"], ["2024", "10:00:00"]),
+    ],
+)
+def test_texts_are_read_exactly(spark, kind, exact, other):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from rowproof.functions.casting import text_as
+
+    df = spark.createDataFrame([(x,) for x in exact + other], "s string")
+    got = [r[0] for r in df.select(text_as(df["s"], _parse_datatype_string(kind))).collect()]
+    assert all(x is not None for x in got[: len(exact)]), list(zip(exact, got))
+    assert got[len(exact) :] == [None] * len(other), list(zip(other, got[len(exact) :]))

@@ -56,7 +56,7 @@ def setup(spark, database, tmp_path):
 def test_newest_drop_is_compared(spark, setup):
     at = F.lit("2024-05-06 07:08:09.5").cast("timestamp_ntz")
     run = job.run_newest(spark, f"{setup}/job.properties", at)
-    assert run.run_id == "DQ_check_b_CompareData_2024-05-06T07.08.09.5"
+    assert run.run_id == "DQ_check_b.csv_CompareData_2024-05-06T07.08.09.5"
     rows = {t: as_set(s.drop("run_id")) for t, s in run.sheets.items()}
     assert rows["Column Counts"] == [("CSV Table", 2), ("Hive Table", 2)]
     assert rows["CSV Columns"] == [(1, "key_no", "w")]
@@ -64,22 +64,24 @@ def test_newest_drop_is_compared(spark, setup):
     assert rows["Primary Keys Not Present"] == [("null",), ("zz",)]
     assert rows["Percentage"] == [("Matching Data", "50.0%"), ("Non Matching Data", "50.0%")]
     assert run.comparison.summary().head().reference_only_keys == 1
-    assert spark.sql("SELECT count(*) FROM csv_temp_table").head()[0] == 4
+    assert os.listdir(f"{setup}/archive") == ["DQ_check_b.csv"]
+    assert not os.path.exists(f"{setup}/in/DQ_check_b.csv")
 
 
 def test_all_new_drops_are_compared_once(spark, setup):
     def run():
-        job.run_incoming(spark, f"{setup}/job.properties", f"{setup}/cp")
+        job.run_incoming(spark, f"{setup}/job.properties", f"{setup}/ledger")
 
     def written():
         return sorted(os.listdir(f"{setup}/out/percentage"))
 
     run()
-    first = "run_id=dq_check_a_CompareData_2023-11-14T22.13.20.0"
-    second = "run_id=DQ_check_b_CompareData_2023-11-14T22.15.00.0"
+    first = "run_id=dq_check_a.csv_CompareData_2023-11-14T22.13.20.0"
+    second = "run_id=DQ_check_b.csv_CompareData_2023-11-14T22.15.00.0"
     assert written() == sorted([first, second])
     sheets = read_report(spark, f"{setup}/out", first.removeprefix("run_id="))
-    assert as_set(sheets["Primary Keys Not Present"].drop("run_id")) == [("9",)]
+    absent = sheets["Primary Keys Not Present"]
+    assert [(r.key_names, r.key_values) for r in absent.collect()] == [(["key_no"], ["9"])]
     os.remove(f"{setup}/in/config/dq_check_a.properties")  # would fail if taken again
     run()
     assert written() == sorted([first, second])
@@ -91,11 +93,12 @@ def test_name_with_wildcards_is_taken_literally(spark, setup):
     put(setup, f"in/config/{base}.properties", config)
     put(setup, f"in/{base}.csv", "Key_No|w\n3|x\n", at=1_700_000_900)
     run = job.run_newest(spark, f"{setup}/job.properties")
-    assert run.run_id.startswith(f"{base}_CompareData_")
+    assert run.run_id.startswith(f"{base}.csv_CompareData_")
+    put(setup, f"in/{base}.csv", "Key_No|w\n3|x\n", at=1_700_000_900)
     assert as_set(run.sheets["Primary Keys Data Present"].select("key_no")) == [("3",)]
-    job.run_incoming(spark, f"{setup}/job.properties", f"{setup}/cp")
-    again = read_report(spark, f"{setup}/out", f"{base}_CompareData_2023-11-14T22.28.20.0")
-    assert as_set(again["Primary Keys Data Present"].select("key_no")) == [("3",)]
+    job.run_incoming(spark, f"{setup}/job.properties", f"{setup}/ledger")
+    again = read_report(spark, f"{setup}/out", f"{base}.csv_CompareData_2023-11-14T22.28.20.0")
+    assert [r.key_values for r in again["Primary Keys Data Present"].collect()] == [["3"]]
 
 
 def test_missing_settings(spark, setup):
@@ -105,3 +108,69 @@ def test_missing_settings(spark, setup):
     put(setup, "in/config/DQ_check_b.properties", "hive.database=d\nhive.table=t\n")
     with pytest.raises(ValueError, match="primary.keys is missing"):
         job.run_newest(spark, f"{setup}/job.properties")
+
+
+def outcomes(rows):
+    return sorted((r["name"], r["outcome"]) for r in rows.collect())
+
+
+def test_redelivered_late_and_bad_drops(spark, setup):
+    def run(**options):
+        return job.run_incoming(spark, f"{setup}/job.properties", f"{setup}/ledger", **options)
+
+    put(setup, "in/dq_check_nothing_known.csv", "Key_No\n1\n", at=1_700_000_050)
+    with pytest.raises(intake.DropsFailed, match="1 drops failed.*nothing_known"):
+        run()
+    known = intake.read_ledger(spark, f"{setup}/ledger")
+    assert outcomes(known) == [
+        ("DQ_check_b.csv", "done"), ("dq_check_a.csv", "done"), ("dq_check_nothing_known.csv", "failed"),
+    ]
+    assert known.where("outcome = 'failed'").head().error
+    assert sorted(os.listdir(f"{setup}/archive")) == ["DQ_check_b.csv", "dq_check_a.csv"]
+    # Under its old name with other rows; and one far older than all that was taken.
+    put(setup, "in/dq_check_a.csv", "Key_No|w\n2|x\n", at=1_700_005_000)
+    put(setup, "in/config/dq_check_late.properties", (setup / "in/config/dq_check_a.properties").read_text())
+    put(setup, "in/dq_check_late.csv", "Key_No|w\n3|x\n", at=1_600_000_000)
+    assert outcomes(run()) == [("dq_check_a.csv", "done"), ("dq_check_late.csv", "done")]
+    again = "dq_check_a.csv_CompareData_2023-11-14T23.36.40.0"
+    assert again.rsplit("_", 1)[1] in os.listdir(f"{setup}/archive")
+    assert [r.key_values for r in read_report(spark, f"{setup}/out", again)["Primary Keys Data Present"].collect()] == [["2"]]
+    assert run().count() == 0
+    put(setup, "in/config/dq_check_nothing_known.properties", (setup / "in/config/dq_check_a.properties").read_text())
+    assert outcomes(run(retry_failed=True)) == [("dq_check_nothing_known.csv", "done")]
+
+
+def test_drops_of_one_base_name_and_time_have_their_own_reports(spark, setup):
+    put(setup, "in/dq_check_a.part2.csv", "Key_No|w\n2|x\n", at=1_700_000_000)
+    job.run_incoming(spark, f"{setup}/job.properties", f"{setup}/ledger")
+    runs = [r for r in os.listdir(f"{setup}/out/percentage") if "dq_check_a" in r]
+    assert sorted(r.split("_CompareData_")[0] for r in runs) == ["run_id=dq_check_a.csv", "run_id=dq_check_a.part2.csv"]
+
+
+def test_unreadable_lines_and_settings_do_not_vanish(spark, setup):
+    put(setup, "in/DQ_check_b.csv", "Key_No|w\n2|x\n3|x|y\n1\n", at=1_700_000_100)
+    run = job.run_newest(spark, f"{setup}/job.properties")
+    assert run.rejected_lines == 2
+    assert [r.key_values for r in read_report(spark, f"{setup}/out", run.run_id)["Primary Keys Data Present"].collect()] == [["2"]]
+    lines = spark.read.parquet(f"{setup}/out/rejects").select("line").collect()
+    assert sorted(r.line for r in lines) == ["1", "3|x|y"]
+    config = (setup / "in/config/dq_check_a.properties").read_text()
+    put(setup, "in/config/dq_check_a.properties", "x=y\n" * 200 + config)
+    assert job.drop_settings(spark, f"{setup}/in/config/dq_check_a.properties")["primary.keys"] == "key_no"
+    with pytest.raises(ValueError, match="more than 110"):
+        job.drop_settings(spark, f"{setup}/in/config/dq_check_a.properties", legacy=True)
+    put(setup, "in/config/dq_check_a.properties", config + "no setting\n")
+    with pytest.raises(ValueError, match="no settings"):
+        job.drop_settings(spark, f"{setup}/in/config/dq_check_a.properties")
+
+
+def test_landing_takes_files_of_any_age_and_starts_empty(spark, tmp_path):
+    def land():
+        return intake.land_drops(spark, f"{tmp_path}/in", f"{tmp_path}/landed", f"{tmp_path}/cp", "k string")
+
+    put(tmp_path, "in/other.csv", "k\nz\n")
+    assert land().count() == 0
+    put(tmp_path, "in/dq_check_1.csv", "k\na\n", at=1_700_000_000)
+    assert land().count() == 1
+    put(tmp_path, "in/dq_check_0.csv", "k\nb\n", at=1_600_000_000)
+    assert land().count() == 2

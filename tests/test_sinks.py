@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import as_set
 from fixture_pairs import fixtures
@@ -44,25 +46,48 @@ def test_delimited_round_trip(spark, tmp_path):
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 @pytest.mark.parametrize("as_text", [False, True])
 def test_report_tables(spark, tmp_path, threshold, as_text):
-    case = fixtures()["f1"]
+    case = fixtures()["tours"]
     reference, delivered = case.frames(spark)
     if as_text:
         delivered = delivered.select([delivered[c].cast("string") for c in delivered.columns])
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        result = compare(reference, delivered, "P1,P3")
+        result = compare(reference, delivered, "Depot,Stops")
         for _ in range(2):  # writing again replaces
             sheets = report_store.write_report(result, f"{tmp_path}/report", "a#1_CompareData_x")
         report_store.write_report(result, f"{tmp_path}/report", "second")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    expected = report_sheets(result)
+    expected = report_sheets(result, result.presence())
     for title, sheet in sheets.items():
         assert as_set(sheet.drop("run_id")) == as_set(expected[title]), title
         assert {r.run_id for r in sheet.select("run_id").collect()} == {"a#1_CompareData_x"}
     whole = spark.read.parquet(f"{tmp_path}/report/percentage")
     assert {r.run_id for r in whole.collect()} == {"a#1_CompareData_x", "second"}
+    left = sorted(os.listdir(f"{tmp_path}/report"))
+    assert left == ["_work", "column_counts", "columns", "keys_not_present", "keys_present", "percentage"]
+    assert os.listdir(f"{tmp_path}/report/_work") == []
+
+
+def test_reports_with_other_keys_are_read_together(spark, tmp_path):
+    reference, delivered = fixtures()["tours"].frames(spark)
+    for run_id, key in (("one", "Depot,Mode"), ("two", "Crates")):
+        report_store.write_report(compare(reference, delivered, key), str(tmp_path), run_id)
+    sheet = report_store.read_all(spark, str(tmp_path), "Primary Keys Not Present")
+    found = {(r.run_id, tuple(r.key_names), tuple(r.key_values)) for r in sheet.collect()}
+    assert ("one", ("depot", "mode"), ("quarry", "road")) in found
+    assert ("two", ("crates",), ("338",)) in found and len(found) == 3 + 5
+
+
+@pytest.mark.parametrize("threshold,allowed", [("-1", False), ("0", False), ("0b", False), ("10MB", True), ("10485760b", True)])
+def test_broadcast_is_off_with_the_sessions(spark, threshold, allowed):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        assert report_store._broadcast_allowed(spark) == allowed
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_empty_key_sheet_can_be_read(spark, tmp_path):
@@ -124,16 +149,19 @@ def test_reference_beyond_the_delivered_range_is_not_read(spark, tmp_path, thres
 
 
 def test_first_key_side_by_side(spark):
-    reference, delivered = fixtures()["f1"].frames(spark)
-    rows = as_set(first_key_side_by_side(compare(reference, delivered, "P1,P2")))
-    assert rows == [(1, "a", "g"), (2, "b", "h"), (3, "c", "i"), (4, "d", "")]
+    reference, delivered = fixtures()["tours"].frames(spark)
+    rows = as_set(first_key_side_by_side(compare(reference, delivered, "Depot,Mode")))
+    assert rows == [
+        (1, "harbor", ""), (2, "north", "harbor"), (3, "north", "quarry"), (4, "south", ""), (5, "south", ""),
+    ]
 
 
 def test_one_table(spark):
-    reference, delivered = fixtures()["f1"].frames(spark)
-    table = one_table(report_sheets(compare(reference, delivered, "P1,P2")), 2)
+    reference, delivered = fixtures()["tours"].frames(spark)
+    result = compare(reference, delivered, "Depot,Mode")
+    table = one_table(report_sheets(result, result.presence()), 2)
     assert table.columns == ["sheet", "cell_1", "cell_2"]
-    assert table.count() == 2 + 4 + 4 + 3 + 2
+    assert table.count() == 2 + 4 + 5 + 3 + 2
 
 
 def test_work_folder_is_the_shared_one(spark):

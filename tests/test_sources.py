@@ -15,7 +15,7 @@ def test_newest_drop(spark, tmp_path):
     at = F.lit("2024-01-02 03:04:05").cast("timestamp_ntz")
     found = drops.find_newest_drop(spark, str(tmp_path), at)
     assert found.name == "DQ_Check_b.csv"
-    assert found.run_id == "DQ_Check_b_CompareData_2024-01-02T03.04.05.0"
+    assert found.run_id == "DQ_Check_b.csv_CompareData_2024-01-02T03.04.05.0"
 
 
 def test_newest_drop_tie_goes_to_the_last_name(spark, tmp_path):
@@ -106,11 +106,11 @@ def test_first_lines_are_those_of_each_file(spark, tmp_path):
     try:
         lines = config.text_lines(spark, f"{tmp_path}/many")
         assert lines.rdd.getNumPartitions() > 4
-        found = config.sheet_entries(config.first_lines(lines))
+        found = config.sheet_entries(config.first_lines(lines, 110))
         assert {(r.key, r.value) for r in found.collect()} == {
             (f"k{i}", f"{name}{i}") for name in ("a.txt", "b.txt") for i in range(110)
         }
-        text = config.first_lines(lines)._jdf.queryExecution().executedPlan().toString()
+        text = config.first_lines(lines, 110)._jdf.queryExecution().executedPlan().toString()
         assert "WindowGroupLimit" in text and "Partial" in text
         # The last of equal keys wins over all splits.
         put(tmp_path, "last.txt", "".join(f"k={i}\n" for i in range(2000)))
