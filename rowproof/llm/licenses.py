@@ -4,7 +4,7 @@ A text is brought to a canonical form: A-Z in lower case, copyright lines droppe
 that mean the same made equal, runs of punctuation, list numbers and white space turned into one space. The SHA-256 of the form is
 joined by hash with the digests of known licences, so only entire texts match. The units looked up
 are a whole document, its paragraphs (between blank lines), and its lines; equal units of a document
-count once. Known digests are a small table of fixed size, so the join is a broadcast and the
+count once. Units without any of a few words, of which every known text holds one, are passed over before they are brought to their form. Known digests are a small table of fixed size, so the join is a broadcast and the
 corpus is not shuffled.
 
 Defined cases: a null or empty text, and units of which nothing is left, match nothing. Each row of the input
@@ -59,16 +59,31 @@ def known_digests(known=KNOWN) -> dict[str, str]:
     return {hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in known}
 
 
+def anchors(known=KNOWN) -> list[str]:
+    """Words of which every known text holds one, as written in the text in either case.
+
+    A word that no rule makes stands in the text as it does in the canonical form, so a unit
+    without any of these words cannot match.
+    """
+    made = [new for _, new in RULES if new.strip()]
+    words = [{w for w in canonical_text(t).split() if w.isascii() and w.isalpha() and not any(m in w or w in m for m in made)} for _, t in known]
+    out: list[str] = []
+    while left := [x for x in words if not x.intersection(out)]:
+        rest = set.union(*left)
+        out.append(max(sorted(rest), key=lambda w: (sum(w in x for x in left) * len(w), len(w))))
+    return out
+
+
 def find_licenses(docs: DataFrame, keep: list[str], text_col: str = "text", known=KNOWN) -> DataFrame:
     """``keep`` columns, ``license_id``, ``digest``, and ``whole`` (the unit is all of the text), a row for each unit that matches."""
     text, unit = fresh("text"), fresh("unit")
-    docs = docs.select(*[docs[c] for c in keep], docs[text_col].alias(text)).where(F.length(text) > 0)
+    possible = f"(?i){'|'.join(anchors(known))}"
+    docs = docs.select(*[docs[c] for c in keep], docs[text_col].alias(text)).where(F.col(text).rlike(possible))
     whole, lines = F.array(text), F.split(text, "\n", -1)
     paragraphs = F.split(text, r"\n[\x20\t\r]*\n", -1)
     units = F.array_distinct(F.concat(whole, paragraphs, lines))
-    found = docs.select(*keep, text, F.explode(units).alias(unit))
-    form = canonical(F.col(unit))
-    found = found.select(*keep, (F.col(unit) == F.col(text)).alias("whole"), F.when(F.length(form) > 0, F.sha2(form, 256)).alias("digest"))
+    found = docs.select(*keep, text, F.explode(units).alias(unit)).where(F.col(unit).rlike(possible))
+    found = found.select(*keep, (F.col(unit) == F.col(text)).alias("whole"), F.sha2(canonical(F.col(unit)), 256).alias("digest"))
     names = docs.sparkSession.createDataFrame(list(known_digests(known).items()), "digest string, license_id string")
     return found.join(F.broadcast(names), "digest").select(*keep, "license_id", "digest", "whole")
 

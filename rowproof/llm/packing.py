@@ -194,8 +194,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         wanted = [i / ranges for i in range(1, ranges)]
         bounds = sorted(set(tokens.agg(F.percentile_approx(F.col("place").cast("double"), wanted, 10 * MAX_RANGES)).first()[0]))
     placed = tokens.withColumn("at", F.col("place").cast("double"))
-    split = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="at", outputCol="range")
-    placed = split.transform(placed).drop("at")
+    if bounds:
+        split = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="at", outputCol="range")
+        placed = split.transform(placed).drop("at")
+    else:
+        placed = placed.drop("at").withColumn("range", F.lit(0.0))
     before, offsets = 0, []
     for r in sorted(placed.groupBy("range").agg(F.sum("n").alias("n")).collect()):  # one row a range
         offsets.append((r["range"], before))

@@ -9,7 +9,7 @@ probed only for rows that can still compete, the largest bounds first. Shards' b
 
 Negative components are handled by counting a term's score from its least value in the shard,
 so that all contributions are at least 0. Scores are whole numbers, computed in doubles while
-they are exact below 2**53 and in Python's whole numbers beyond.
+they are exact below 2**53 and in Python's whole numbers beyond; one beyond 64 bits is an error.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows with a
 null id, take no part; a shorter vector is filled up with zeros. A row is "own" to a query if it has its id, and
