@@ -35,12 +35,13 @@ from tokenizers import Tokenizer
 from rowproof.llm.common import Steps, bounded_batches, fresh, map_texts
 
 LENGTH = 2048
-DIMENSIONS, BITS, HASHED = 4, 12, 256
+DIMENSIONS, BITS, HASHED = 4, 8, 256
 CACHE_CUTS = 250_000
 LEARNED_AT_ONCE = 8192
 RANGE_TOKENS = 16 << 20
 MAX_RANGES = 20_000
-_TIE_BITS = 63 - DIMENSIONS * BITS
+#: Keys have 53 bits together, so that they are exact as doubles when ranges are looked up.
+_TIE_BITS = 53 - DIMENSIONS * BITS
 _WORKERS: dict[str, TokenCache] = {}
 #: A letter and then signs that are tokenized by themselves; no sign that a special token may hold.
 _SIGNS = re.compile(r"^(.*[^\W\d_])([,.!?;:#$%&*]+)$", re.S)
