@@ -13,7 +13,9 @@ range after another and sorts it with spilling. The driver sees one number for e
 
 Tokens: a text is cut at spaces and line feeds, which the tokenizer never joins across, and each
 cut is tokenized once for a worker and kept: up to ``CACHE_CUTS`` cuts, and as many of those seen before. This gives the ids of
-the whole text, which tests hold against the tokenizer.
+the whole text, which tests hold against the tokenizer. Plain words in ASCII go to the
+tokenizer's model alone. Both are tried on a few words when a tokenizer is loaded; one that works
+otherwise gets whole texts.
 
 Defined cases: a null or empty text is the end id alone. Every row is packed, rows that repeat an id or have none
 too; pieces of such rows carry that id. Other columns are ignored. An empty table gives no pieces.
@@ -22,7 +24,7 @@ too; pieces of such rows carry that id. Other columns are ignored. An empty tabl
 from __future__ import annotations
 
 import math
-import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +45,20 @@ MAX_RANGES = 20_000
 #: Keys have 53 bits together, so that they are exact as doubles when ranges are looked up.
 _TIE_BITS = 53 - DIMENSIONS * BITS
 _WORKERS: dict[str, TokenCache] = {}
-#: A letter and then signs that are tokenized by themselves; no sign that a special token may hold.
-_SIGNS = re.compile(r"^(.*[^\W\d_])([,.!?;:#$%&*]+)$", re.S)
+#: Signs that are tokenized by themselves after a letter; none that a special token may hold.
+_SIGNS = ",.!?;:#$%&*"
+
+
+def _parts(cut: str) -> tuple[str, str] | None:
+    """A word and the signs after it, whose ids in a row are those of ``cut``; nothing if it is best taken whole.
+
+    The tokenizer takes letters in lower case, so words of ASCII letters share their ids with that.
+    """
+    word = cut.rstrip(_SIGNS)
+    if word != cut and not word[-1:].isalpha():
+        return None
+    plain = word.lower() if word.isascii() and word.isalpha() else word
+    return (plain, cut[len(word) :]) if plain != cut else None
 
 
 class TokenCache:
@@ -53,14 +67,32 @@ class TokenCache:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.type.itemsize == 2 else "I"
         self.known: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
 
+        probes = ["a", "word", "packing", "zqxv"]
+        whole = self._ids("".join(f" {p}\n{p.title()}." for p in probes))
+        #: whether white space ends words, and whether the model alone tokenizes a plain word
+        self.cuts = whole == [i for p in probes for x in (p, p.title(), ".") for i in self._ids(x)]
+        self.direct = all(self._ids(p) == [x.id for x in self.tokenizer.model.tokenize(p)] for p in probes)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
     def _learn(self, cuts: list[str]) -> None:
+        if self.direct:
+            tokenize, packed = self.tokenizer.model.tokenize, self._packed
+            plain = [x for x in cuts if x.isascii() and x.isalpha() and x.islower()]
+            self.known.update((x, packed([t.id for t in tokenize(x)])) for x in plain)
+            cuts = [x for x in cuts if x not in self.known]
         for i in range(0, len(cuts), LEARNED_AT_ONCE):
             part = cuts[i : i + LEARNED_AT_ONCE]
             for cut, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[cut] = np.array(found.ids, self.type).tobytes()
+                self.known[cut] = self._packed(found.ids)
 
     def _missing(self, wanted: set[str]) -> set[str]:
         """Those of ``wanted`` to be tokenized; what was known before is known again."""
@@ -69,19 +101,27 @@ class TokenCache:
         self.known.update((x, self.before[x]) for x in again)
         return new - again
 
+    def _know(self, wanted: set[str]) -> None:
+        new = self._missing(wanted)
+        made = {x: p for x in new if (p := _parts(x))}
+        self._learn([*(new - made.keys()) | self._missing({p for x in made.values() for p in x})])
+        for x, (word, signs) in made.items():
+            self.known[x] = self.known[word] + self.known[signs]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cuts = [x.replace("\n", " ").split(" ") if x else [] for x in texts]
+        if not self.cuts:
+            return [self._packed(self._ids(x)) if x else b"" for x in texts]
         if len(self.known) > CACHE_CUTS:
             self.before, self.known = self.known, {"": b""}
-        known = self.known
-        new = self._missing(set().union(*cuts))
-        split = {x: m.groups() for x in new if (m := _SIGNS.match(x))}
-        parts = self._missing({p for pair in split.values() for p in pair})
-        self._learn([*(new - split.keys()) | parts])
-        for x, (word, signs) in split.items():
-            known[x] = known[word] + known[signs]
-        get = known.__getitem__
-        return [b"".join(map(get, x)) for x in cuts]
+        get = self.known.get
+        cuts = [x.replace("\n", " ").split(" ") if x else [] for x in texts]
+        found = [list(map(get, x)) for x in cuts]
+        unknown = [[i for i, v in enumerate(x) if v is None] if None in x else [] for x in found]
+        self._know({x[i] for x, at in zip(cuts, unknown, strict=True) for i in at})
+        for x, values, at in zip(cuts, found, unknown, strict=True):
+            for i in at:
+                values[i] = get(x[i])
+        return [b"".join(x) for x in found]
 
 
 def token_cache(path: str) -> TokenCache:

@@ -97,3 +97,15 @@ def test_like_documents_are_neighbours(texts, tokenizer):
     order = [r["doc_id"] % 3 for s in sorted(sequences) for r in sorted(sequences[s], key=lambda r: r["offset"])]
     same = sum(a == b for a, b in zip(order, order[1:], strict=False)) / (len(order) - 1)
     assert same > 0.6  # a third, if order were random
+
+
+def test_tokenizers_that_join_across_spaces_get_whole_texts():
+    cache = packing.TokenCache(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not cache.cuts
+    text = "Hello there, world"
+    assert np.frombuffer(cache.encode([text])[0], cache.type).tolist() == cache.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_shortcuts_hold_for_the_tokenizer_in_use():
+    cache = packing.token_cache(PATH)
+    assert cache.cuts and cache.direct
