@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from rowproof.storage import new_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +24,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Let Arrow batches end at 4 MB, so that long texts don't make them as large as 10,000 rows."""
+    """Let Arrow batches end at 1 MB, so that long texts don't make them as large as 10,000 rows."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, build: Callable[[], object]) -> object:
+    """What a Python worker keeps from one task to the next, such as a tokenizer and its cache."""
+    if key not in _KEPT:
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def release(keep: str | None = None) -> None:
+    """Drop what tasks of other operators have left in this worker, and memory that Arrow holds for later."""
+    for key in [k for k in _KEPT if k[0] != keep]:
+        del _KEPT[key]
+    pa.default_memory_pool().release_unused()
+
+
 def fresh(name: str) -> str:
     """A column name that no input column has."""
     return f"__{name}_{uuid.uuid4().hex[:8]}"
@@ -73,11 +90,13 @@ def map_texts(
     fields: list[tuple[str, T.DataType]],
     make: Callable[[], Callable[[list], Iterable]],
     as_bytes: bool = False,
+    keeps: str | None = None,
 ) -> DataFrame:
     """``keep`` columns as they are, and ``fields`` computed from the texts of a batch.
 
     ``make()`` runs once for each task and returns a function from a list of texts (their
-    UTF-8 bytes, if ``as_bytes``) to one list or Arrow array of values for each field.
+    UTF-8 bytes, if ``as_bytes``) to one list or Arrow array of values for each field. ``keeps``
+    is the first part of the keys under which it has things ``kept`` in the worker.
     """
     text = fresh("text")
     schema = T.StructType(
@@ -88,6 +107,7 @@ def map_texts(
     kinds = [to_arrow_type(t) for _, t in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keeps)
         compute = make()
         for batch in batches:
             n = batch.num_columns - 1

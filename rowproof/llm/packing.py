@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from rowproof.llm.common import Steps, bounded_batches, fresh, map_texts
+from rowproof.llm.common import Steps, bounded_batches, fresh, kept, map_texts
 
 LENGTH = 2048
 DIMENSIONS, BITS, HASHED = 4, 8, 256
@@ -44,7 +44,6 @@ RANGE_TOKENS = 16 << 20
 MAX_RANGES = 20_000
 #: Keys have 53 bits together, so that they are exact as doubles when ranges are looked up.
 _TIE_BITS = 53 - DIMENSIONS * BITS
-_WORKERS: dict[str, TokenCache] = {}
 #: Signs that are tokenized by themselves after a letter; none that a special token may hold.
 _SIGNS = ",.!?;:#$%&*"
 
@@ -125,9 +124,7 @@ class TokenCache:
 
 
 def token_cache(path: str) -> TokenCache:
-    if path not in _WORKERS:
-        _WORKERS[path] = TokenCache(path)
-    return _WORKERS[path]
+    return kept(("packing", path), lambda: TokenCache(path))
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -185,7 +182,7 @@ def _tokenized(docs: DataFrame, key: str, path: str, end_id: int) -> DataFrame:
         return compute
 
     fields = [("n", T.LongType()), ("ids", T.BinaryType()), ("place", T.LongType())]
-    return map_texts(docs, "text", [key], fields, make)
+    return map_texts(docs, "text", [key], fields, make, keeps="packing")
 
 
 def tail_starts(total: int, length: int) -> list[int]:

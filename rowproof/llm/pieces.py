@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from rowproof.llm.common import bounded_batches, map_texts
+from rowproof.llm.common import bounded_batches, kept, map_texts
 
 SAMPLE_ROWS = 300
 CUT = 1 << 14
@@ -38,7 +38,6 @@ THREADS = "2"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
-_BUILT: dict[str, PieceTokenizer] = {}
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -181,12 +180,14 @@ class PieceTokenizer:
 
 def piece_tokenizer(path: str) -> PieceTokenizer:
     """The rebuilt tokenizer of a model file, once for each worker."""
-    if path not in _BUILT:
+
+    def build() -> PieceTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         os.environ.setdefault("RAYON_NUM_THREADS", THREADS)
         with open(path, "rb") as file:
-            _BUILT[path] = PieceTokenizer(PieceModel.parse(file.read()))
-    return _BUILT[path]
+            return PieceTokenizer(PieceModel.parse(file.read()))
+
+    return kept(("pieces", path), build)
 
 
 def differing(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
@@ -203,7 +204,7 @@ def differing(docs: DataFrame, model_path: str, text_col: str = "text") -> DataF
 
         return compute
 
-    return map_texts(docs.where(docs[text_col].isNotNull()), text_col, [], [("differs", T.BooleanType())], make)
+    return map_texts(docs.where(docs[text_col].isNotNull()), text_col, [], [("differs", T.BooleanType())], make, keeps="pieces")
 
 
 def verify_parity(docs: DataFrame, model_path: str, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> None:
@@ -232,7 +233,7 @@ def encode_pieces(docs: DataFrame, keep: list[str], model_path: str, text_col: s
 
         return compute
 
-    return map_texts(docs, text_col, keep, [("ids", T.BinaryType()), ("round_trip", T.BooleanType())], make)
+    return map_texts(docs, text_col, keep, [("ids", T.BinaryType()), ("round_trip", T.BooleanType())], make, keeps="pieces")
 
 
 def decode_pieces(encoded: DataFrame, keep: list[str], model_path: str, ids_col: str = "ids") -> DataFrame:
@@ -242,7 +243,7 @@ def decode_pieces(encoded: DataFrame, keep: list[str], model_path: str, ids_col:
         rebuilt = piece_tokenizer(model_path)
         return lambda rows: [[None if x is None else rebuilt.decode(np.frombuffer(x, "<u4")) for x in rows]]
 
-    return map_texts(encoded, ids_col, keep, [("text", T.StringType())], make)
+    return map_texts(encoded, ids_col, keep, [("text", T.StringType())], make, keeps="pieces")
 
 
 def digest(encoded: DataFrame, id_col: str) -> DataFrame:
