@@ -13,8 +13,8 @@ range after another and sorts it with spilling. The driver sees one number for e
 
 Tokens: a text is cut at spaces and line feeds, which the tokenizer never joins across, and each
 cut is tokenized once for a worker and kept: up to ``CACHE_CUTS`` cuts, and as many of those seen before. This gives the ids of
-the whole text, which tests hold against the tokenizer. Plain words in ASCII go to the
-tokenizer's model alone. Both are tried on a few words when a tokenizer is loaded; one that works
+the whole text, which tests hold against the tokenizer. Plain words in lower case go to the
+tokenizer's model alone, in its byte-level letters. Both are tried on a few words when a tokenizer is loaded; one that works
 otherwise gets whole texts.
 
 Defined cases: a null or empty text is the end id alone. Every row is packed, rows that repeat an id or have none
@@ -23,8 +23,11 @@ too; pieces of such rows carry that id. Other columns are ignored. An empty tabl
 
 from __future__ import annotations
 
+import gc
 import math
 import struct
+from collections.abc import Iterable
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,7 @@ from rowproof.llm.common import Steps, bounded_batches, fresh, kept, map_texts
 
 LENGTH = 2048
 DIMENSIONS, BITS, HASHED = 4, 8, 256
-CACHE_CUTS = 250_000
+CACHE_CUTS = 400_000
 LEARNED_AT_ONCE = 8192
 RANGE_TOKENS = 16 << 20
 MAX_RANGES = 20_000
@@ -48,15 +51,27 @@ _TIE_BITS = 53 - DIMENSIONS * BITS
 _SIGNS = ",.!?;:#$%&*"
 
 
+#: The byte-level alphabet of these tokenizers: printable bytes stand for themselves, the others follow from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_ALPHABET = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+
+
+def _byte_letters(word: str) -> str:
+    """A word as the byte-level letters that the model knows."""
+    return word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+
+
 def _parts(cut: str) -> tuple[str, str] | None:
     """A word and the signs after it, whose ids in a row are those of ``cut``; nothing if it is best taken whole.
 
-    The tokenizer takes letters in lower case, so words of ASCII letters share their ids with that.
+    The tokenizer takes letters in lower case, one by one, so words of letters share their ids
+    with that; but for the few whose lower case is longer or depends on the place.
     """
     word = cut.rstrip(_SIGNS)
     if word != cut and not word[-1:].isalpha():
         return None
-    plain = word.lower() if word.isascii() and word.isalpha() else word
+    plain = word.lower() if word.isalpha() and "Σ" not in word else word
+    plain = plain if len(plain) == len(word) else word
     return (plain, cut[len(word) :]) if plain != cut else None
 
 
@@ -70,11 +85,11 @@ class TokenCache:
         self.known: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
 
-        probes = ["a", "word", "packing", "zqxv"]
+        probes = ["a", "word", "packing", "zqxv", "été", "straße", "niño", "слово", "語"]
         whole = self._ids("".join(f" {p}\n{p.title()}." for p in probes))
         #: whether white space ends words, and whether the model alone tokenizes a plain word
         self.cuts = whole == [i for p in probes for x in (p, p.title(), ".") for i in self._ids(x)]
-        self.direct = all(self._ids(p) == [x.id for x in self.tokenizer.model.tokenize(p)] for p in probes)
+        self.direct = all(self._ids(p) == [x.id for x in self.tokenizer.model.tokenize(_byte_letters(p))] for p in probes)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -85,29 +100,47 @@ class TokenCache:
     def _learn(self, cuts: list[str]) -> None:
         if self.direct:
             tokenize, packed = self.tokenizer.model.tokenize, self._packed
-            plain = [x for x in cuts if x.isascii() and x.isalpha() and x.islower()]
-            self.known.update((x, packed([t.id for t in tokenize(x)])) for x in plain)
-            cuts = [x for x in cuts if x not in self.known]
+            plain = [x for x in cuts if x.isalpha() and x == x.lower() and (x.isascii() or is_normalized("NFC", x))]
+            self.known.update((x, packed([t.id for t in tokenize(_byte_letters(x))])) for x in plain)
+            cuts = [x for x in cuts if x not in self.known] if len(plain) < len(cuts) else []
         for i in range(0, len(cuts), LEARNED_AT_ONCE):
             part = cuts[i : i + LEARNED_AT_ONCE]
             for cut, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[cut] = self._packed(found.ids)
 
-    def _missing(self, wanted: set[str]) -> set[str]:
-        """Those of ``wanted`` to be tokenized; what was known before is known again."""
-        new = wanted.difference(self.known)
-        again = new.intersection(self.before)
-        self.known.update((x, self.before[x]) for x in again)
-        return new - again
-
-    def _know(self, wanted: set[str]) -> None:
-        new = self._missing(wanted)
-        made = {x: p for x in new if (p := _parts(x))}
-        self._learn([*(new - made.keys()) | self._missing({p for x in made.values() for p in x})])
-        for x, (word, signs) in made.items():
-            self.known[x] = self.known[word] + self.known[signs]
+    def _new(self, unknown: Iterable[str]) -> list[str]:
+        """Those of ``unknown`` to be tokenized; what was known before is known again."""
+        known, before, new = self.known, self.before.get, []
+        for x in unknown:
+            if (value := before(x)) is None:
+                new.append(x)
+            else:
+                known[x] = value
+        return new
+
+    def _know(self, unknown: set[str]) -> None:
+        made, whole = {}, []
+        for x in self._new(unknown):
+            if parts := _parts(x):
+                made[x] = parts
+            else:
+                whole.append(x)
+        parts = {p for x in made.values() for p in x}.difference(self.known, whole)
+        self._learn(whole + self._new(parts))
+        known = self.known
+        known.update((x, known[word] + known[signs]) for x, (word, signs) in made.items())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text. Python's search for cycles is off meanwhile: there are none to find in large lists of words."""
+        searching = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if searching:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         if not self.cuts:
             return [self._packed(self._ids(x)) if x else b"" for x in texts]
         if len(self.known) > CACHE_CUTS:
