@@ -139,6 +139,9 @@ class PieceTokenizer:
             self.tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "removed", invert=True)
         steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.tokenizer.decoder = decoders.Sequence(steps + ([decoders.Strip(" ", 1, 0)] if model.add_dummy_prefix else []))
+        bytes_ = [int(p[1:-1], 16) if kind == BYTE else None for p, _, kind in model.pieces]
+        self.high = np.array([b is not None and b > 127 for b in bytes_])
+        self.strings = np.array([p.replace(MARK, " ") if b is None else chr(b) for (p, _, _), b in zip(model.pieces, bytes_, strict=True)], object)
         self.normalizer = normalizers.Precompiled(model.charsmap) if model.charsmap else None
         self.cut = re.compile(f"(?:{MARK}*[^{MARK}]+){{1,{CUT // 8}}}|{MARK}+", re.S) if model.cuts_at_words else None
 
@@ -175,7 +178,11 @@ class PieceTokenizer:
         return [np.concatenate(x) if x else np.zeros(0, np.uint32) for x in out]
 
     def decode(self, ids: np.ndarray) -> str:
-        return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+        """The text of some ids. Only bytes beyond ASCII, which make a character together, need the tokenizer's decoder."""
+        if self.high[ids].any():
+            return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
+        text = "".join(self.strings[ids])
+        return text[1:] if self.model.add_dummy_prefix and text.startswith(" ") else text
 
 
 def piece_tokenizer(path: str) -> PieceTokenizer:
