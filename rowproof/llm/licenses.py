@@ -22,9 +22,19 @@ from pyspark.sql import functions as F
 from rowproof.llm.common import fresh
 from rowproof.llm.license_texts import KNOWN
 
-#: Patterns (in lower case) and what stands for them, applied in this order.
+#: What follows "copyright" in the words of a licence, and not in a notice.
+_NOT_NOTICES = (
+    "notice", "notices", "holder", "holders", "owner", "owners", "law", "laws", "license", "licenses", "licence", "permission", "statement", "statements",
+    "interest", "interests", "disclaimer", "treaty", "and", "or", "on", "in", "is", "as", "to", "for", "the software", "the library", "the program", "rights",
+    "ownership", "of", "if", "resulting",
+)
+
+#: Patterns (in lower case) and what stands for them, applied in this order. A line that a wrapped
+#: text begins with "copyright notice" is no copyright line: a hyphen marks such words until punctuation goes.
 RULES = (
-    (r"(^|\n)[^\na-z0-9]*(copyright|\(c\)|©|all rights reserved)[^\n]*", "\n"),
+    *((rf"copyright[^\S\n]+{word}\b", f"copyright-{word}") for word in _NOT_NOTICES),
+    *((rf"\(c\)[^\S\n]+{words}\b", f"c-{words}") for words in ("you must", "the licenses")),
+    (r"(^|\n)[^\na-z0-9]*(copyright([^\S\n]+[^\s]|[:(©])|\(c\)|©|all rights reserved)[^\n]*", "\n"),
     ("[‘’“”–—• ]", " "),
     (r"(^|\n)[^\S\n]*([0-9]{1,2}|[a-z])[.)][^\S\n]", "\n"),
     ("licence", "license"),
@@ -32,9 +42,9 @@ RULES = (
     ("acknowledgement", "acknowledgment"),
     ("organisation", "organization"),
     ("non-infringement", "noninfringement"),
-    ("copyright owner", "copyright holder"),
     ("https:", "http:"),
     ("[\\x00-\\x2f\\x3a-\\x40\\x5b-\\x60\\x7b-\\x7f]+", " "),
+    ("copyright owner", "copyright holder"),
 )
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -1,3 +1,5 @@
+import textwrap
+
 from rowproof.llm import licenses
 from rowproof.llm.license_texts import KNOWN
 
@@ -32,3 +34,22 @@ def test_spark_and_python_agree(documents, rows, texts):
 def test_empty_and_repeated(texts, empty):
     assert licenses.find_licenses(empty, ["doc_id"]).count() == 0
     assert found(texts(["SPDX-License-Identifier: MIT"] * 2, ids=[3, 3])) == [(3, "MIT", True)] * 2
+
+
+def wrapped(text, width):
+    return "\n".join(line for part in text.split("\n") for line in (textwrap.wrap(part, width) or [""]))
+
+
+def test_known_texts_wrapped_at_any_width():
+    for name, text in KNOWN:
+        form = licenses.canonical_text(text)
+        for width in range(40, 101):
+            for notice in ("", "Copyright (c) 2020 Some One\n\n", "Copyright 1999-2004, The Foundation\nAll rights reserved.\n\n", "(c) 2011 Andrew Orwell\n", "Copyright Oracle\n\n", "© X\n"):
+                assert licenses.canonical_text(notice + wrapped(text, width)) == form, (name, width, notice)
+
+
+def test_wrapped_isc_is_found(texts):
+    isc = next(t for n, t in KNOWN if n == "ISC")
+    widths = [w for w in range(40, 101) if "\ncopyright notice" in wrapped(isc, w)]
+    assert widths
+    assert found(texts([wrapped(isc, w) for w in widths])) == [(i, "ISC", True) for i in range(len(widths))]
