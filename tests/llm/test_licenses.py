@@ -1,7 +1,7 @@
 import textwrap
 
 from rowproof.llm import licenses
-from rowproof.llm.license_texts import KNOWN
+from rowproof.llm.license_texts import KNOWN, LONG, SHORT
 
 
 def found(df):
@@ -41,7 +41,7 @@ def wrapped(text, width):
 
 
 def test_known_texts_wrapped_at_any_width():
-    for name, text in KNOWN:
+    for name, text in SHORT:
         form = licenses.canonical_text(text)
         for width in range(40, 101):
             for notice in ("", "Copyright (c) 2020 Some One\n\n", "Copyright 1999-2004, The Foundation\nAll rights reserved.\n\n", "(c) 2011 Andrew Orwell\n", "Copyright Oracle\n\n", "© X\n"):
@@ -53,3 +53,12 @@ def test_wrapped_isc_is_found(texts):
     widths = [w for w in range(40, 101) if "\ncopyright notice" in wrapped(isc, w)]
     assert widths
     assert found(texts([wrapped(isc, w) for w in widths])) == [(i, "ISC", True) for i in range(len(widths))]
+
+
+def test_long_texts_headers_and_identifiers(texts):
+    commented = [("\n".join((" * " if len(t) < 1200 else "\t") + line.rstrip() for line in t.split("\n")), n) for n, t in LONG]
+    ids = ["GPL-2.0-only", "LGPL-2.1-or-later", "BSD-3-Clause", "MPL-2.0", "AGPL-3.0-only", "Unlicense"]
+    values = commented + [(f"// SPDX-License-Identifier: {x}\nint main() {{}}", x) for x in ids]
+    got = {(i, n) for i, n, _ in found(texts([v for v, _ in values]))}
+    assert {(i, n) for i, (_, n) in enumerate(values)} <= got
+    assert len(licenses.known_digests()) == len(KNOWN)
