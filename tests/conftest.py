@@ -30,6 +30,3 @@ def database(spark, tmp_path):
     yield name
     spark.sql(f"DROP DATABASE {name} CASCADE")
 
-
-def as_set(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

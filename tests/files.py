@@ -10,3 +10,8 @@ def put(folder, name, text="k\n1\n", at=None):
     if at is not None:
         os.utime(path, (at, at))
     return path
+
+
+def as_set(df):
+    """All rows of a DataFrame as tuples, in an order of their own."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,4 +1,4 @@
-from conftest import as_set
+from files import as_set
 
 from rowproof.operators import columns as C
 

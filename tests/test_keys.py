@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_set
+from files import as_set
 from hypothesis import HealthCheck, given
 from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st

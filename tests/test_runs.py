@@ -1,9 +1,8 @@
 import os
 
 import pytest
-from conftest import as_set
+from files import as_set, put
 from pyspark.sql import functions as F
-from files import put
 
 from rowproof.plans import job
 from rowproof.sinks.report_store import read_report

@@ -1,9 +1,8 @@
 import os
 
 import pytest
-from conftest import as_set
+from files import as_set, put
 from fixture_pairs import fixtures
-from files import put
 
 from rowproof import compare, storage
 from rowproof.plans.report import first_key_side_by_side, one_table, report_sheets

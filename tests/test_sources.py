@@ -1,6 +1,5 @@
 import pytest
-from conftest import as_set
-from files import put
+from files import as_set, put
 from pyspark.sql import functions as F
 
 from rowproof.operators.ordering import first_rows, number_rows, top_rows
