@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowproof.llm import language, licenses, minhash, packing, pieces, pii, quality, secrets, substring, topk
+from rowproof.llm import language, licenses, minhash, packing, pieces, pii, quality, secrets, substring, topk, transducer
 from rowproof.llm.common import table
 
 
@@ -55,6 +55,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = transducer.encode(table(spark, sf_dir, "documents"), ["doc_id"], path, decoded_col="decoded")
+    return transducer.digests(encoded, ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_top_k,
         op9_minhash_near_dedup,
         op10_license_scan,
+        op11_byte_bpe,
     )
 }
 ORACLES: dict[str, str] = {
