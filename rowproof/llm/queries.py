@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowproof.llm import audit, language, licenses, minhash, packing, pieces, pii, quality, secrets, substring, topk, transducer
+from rowproof.llm import audit, language, licenses, minhash, packing, pieces, pii, quality, secrets, spelling, substring, topk, transducer
 from rowproof.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.digests(encoded, ["doc_id"])
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_minhash_near_dedup,
         op10_license_scan,
         op11_byte_bpe,
+        op12_spelling_variants,
         op13_filter_audit,
     )
 }
