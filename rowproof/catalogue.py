@@ -24,7 +24,7 @@ from rowproof.plans.report import first_key_side_by_side, key_sheet, one_table,
 from rowproof.sinks import landing, report_store
 from rowproof.sources import config, drops, tables
 from rowproof.spec import CompareSpec
-from rowproof.streaming.intake import DropsFailed, handle_drops, land_drops
+from rowproof.streaming.intake import DropsFailed, handle_drops, land_drops, read_rejects, rejects_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -655,6 +655,27 @@ def intake_archive(t):
     )
 
 
+@query(
+    """SELECT 'landed' AS kind, CAST(event_id AS VARCHAR) || ',' || user_id AS line FROM events
+       WHERE event_type NOT IN ('error', 'view')
+UNION ALL SELECT 'rejected', CASE event_type WHEN 'view' THEN CAST(event_id AS VARCHAR)
+       ELSE 'e' || event_id || ',' || user_id END FROM events WHERE event_type IN ('error', 'view')"""
+)
+def landing_rejects(t):
+    """All events delivered as lines: those of one type lack a cell, those of another have an unreadable one."""
+    whole = F.concat_ws(",", "event_id", "user_id")
+    line = F.when(F.col("event_type") == "view", F.col("event_id").cast("string"))
+    line = line.when(F.col("event_type") == "error", F.concat(F.lit("e"), whole)).otherwise(whole)
+    root = storage.new_folder(t.spark, "intake")
+    lines = t["events"].select(line.alias("event_id,user_id"))
+    lines.write.options(header=True, sep="\x01").csv(f"{root}/incoming")
+    schema = "event_id bigint, user_id bigint"
+    landed = land_drops(t.spark, f"{root}/incoming", f"{root}/landed", f"{root}/checkpoint", schema, prefix="part-")
+    rejects = read_rejects(t.spark, rejects_of(f"{root}/landed"))
+    good = landed.select(F.lit("landed").alias("kind"), F.concat_ws(",", "event_id", "user_id").alias("line"))
+    return good.unionAll(rejects.select(F.lit("rejected").alias("kind"), "line"))
+
+
 @query(
     """SELECT user_id AS source, event_type AS key,
        arg_max(props || '=' || event_id, event_id) AS value

@@ -4,14 +4,16 @@
 length. ``land_drops`` appends feeds whose files never change: the streaming file source keeps
 the list of paths already taken in its checkpoint and moves files to the archive folder when a
 later batch is committed, so the files of a run's last batch are archived by the next run that
-finds new ones.
+finds new ones. Lines that are no rows are kept in a table of rejects.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +42,39 @@ def _source_options(prefix: str, archive: str | None, files_per_batch: int) -> d
     return options
 
 
+_LINE, _SOURCE = "__line", "__source"
+#: Lines that are no rows of the schema, as they were delivered.
+REJECTS = "path string, line string"
+
+
+def rejects_of(landed: str) -> str:
+    """Where ``land_drops`` puts the rejected lines unless told otherwise: beside the landed table."""
+    return landed.rstrip("/") + "_rejects"
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query has kept in its checkpoint since it first started."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).head()["value"])["id"]
+
+
+def _batches(spark: SparkSession, table: str, schema: T.StructType | str) -> DataFrame:
+    """Rows of all batches that have been written to a table of ``land_drops``; none before the first."""
+    if not storage.exists(spark, table):
+        return spark.createDataFrame([], schema)
+    # folders of batches are no columns, whatever the rows' columns are called
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(storage.literal_path(table))
+
+
+def read_landed(spark: SparkSession, landed: str, schema: T.StructType | str) -> DataFrame:
+    """What has been landed so far."""
+    return _batches(spark, landed, schema)
+
+
+def read_rejects(spark: SparkSession, rejects: str) -> DataFrame:
+    """The lines that could not be landed so far: ``(path, line)``."""
+    return _batches(spark, rejects, REJECTS)
+
+
 def land_drops(
     spark: SparkSession,
     folder: str,
@@ -50,28 +85,53 @@ def land_drops(
     delimiter: str = ",",
     prefix: str = settings.DROP_PREFIX,
     files_per_batch: int = 1000,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Append the rows of all new drops of one schema to the Parquet table ``landed``.
 
     Takes what is there now, then stops, and returns all that has been landed so far. A path is
     taken once: where files are delivered again under their old names, use ``handle_drops``.
+
+    A line with too few or too many cells, or with a cell that is no value of its column's type, is not landed:
+    it goes as it is to the table ``rejects``, with its file. So every line but blank ones is in
+    exactly one of the two tables. Each micro-batch has a folder of its own in both, named by the
+    query and the batch's number. A batch that is repeated after a crash replaces its folders, and a
+    checkpoint that starts anew leaves those of the one before.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    target = {landed: False, rejects or rejects_of(landed): True}
     incoming = (
         spark.readStream.format("csv")
-        .schema(schema)
-        .options(header=True, sep=delimiter, enforceSchema=False)
+        .schema(T.StructType([*schema.fields, T.StructField(_LINE, T.StringType())]))
+        .options(header=True, sep=delimiter, enforceSchema=False, mode="PERMISSIVE")
+        .options(columnNameOfCorruptRecord=_LINE, columnPruning=False)
         .options(**_source_options(prefix, archive, files_per_batch))
         .load(folder)
+        .select("*", F.col("_metadata.file_path").alias(_SOURCE))
     )
+
+    def write(batch: DataFrame, number: int) -> None:
+        query_id = _query_id(batch.sparkSession, checkpoint)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # parsed once for both tables
+        try:
+            for table, rejected in target.items():
+                if rejected:
+                    rows = batch.where(F.col(_LINE).isNotNull()).select(F.col(_SOURCE).alias("path"), F.col(_LINE).alias("line"))
+                else:
+                    rows = batch.where(F.col(_LINE).isNull()).drop(_LINE, _SOURCE)
+                rows.write.mode("overwrite").parquet(f"{table.rstrip('/')}/query={query_id}/batch={number}")
+        finally:
+            batch.unpersist()
+
     query = (
-        incoming.writeStream.format("parquet")
-        .option("path", landed)
+        incoming.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(incoming.schema).parquet(landed)
+    return read_landed(spark, landed, schema)
 
 
 class DropsFailed(RuntimeError):

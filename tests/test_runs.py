@@ -4,6 +4,7 @@ import pytest
 from files import as_set, put
 from pyspark.sql import functions as F
 
+from rowproof import storage
 from rowproof.plans import job
 from rowproof.sinks.report_store import read_report
 from rowproof.streaming import intake
@@ -33,6 +34,43 @@ def test_drops_are_landed_once_and_archived(spark, tmp_path):
     assert "other.csv" not in archived and os.path.exists(f"{tmp_path}/in/other.csv")
 
 
+def test_lines_that_are_no_rows_are_kept_apart(spark, tmp_path):
+    """Every line is landed or rejected, once, also after a crash between the two tables or before the commit."""
+    schema = "a int, b int, query string"
+
+    def land():
+        return intake.land_drops(spark, f"{tmp_path}/in", f"{tmp_path}/landed", f"{tmp_path}/cp", schema)
+
+    def rejected():
+        return sorted((r["path"].rsplit("/", 1)[1], r["line"]) for r in intake.read_rejects(spark, intake.rejects_of(f"{tmp_path}/landed")).collect())
+
+    def forget_commit(number):
+        for name in (f"{number}", f".{number}.crc"):
+            os.remove(f"{tmp_path}/cp/commits/{name}")
+
+    good, bad = "1,2,x\n,7,\n\n-5,,\"y,z\"\n", "3\n4,5,6,7\nzz,7,x\n1,2\n1.5,2,x\n"
+    put(tmp_path, "in/dq_check_1.csv", "a,b,query\n" + good + bad)
+    rows = [(-5, None, "y,z"), (1, 2, "x"), (None, 7, None)]
+    lines = [("dq_check_1.csv", line) for line in bad.split()]
+    assert as_set(land()) == rows and rejected() == sorted(lines)
+    forget_commit(0)  # the batch is done but its query doesn't know
+    assert as_set(land()) == rows and rejected() == sorted(lines)
+    put(tmp_path, "in/dq_check_2.csv", "a,b,query\n8,8,8\n8,8,8\nq\n")
+    rows, lines = [*rows, (8, 8, "8"), (8, 8, "8")], [*lines, ("dq_check_2.csv", "q")]
+    assert as_set(land()) == sorted(rows, key=repr) and rejected() == sorted(lines)
+    forget_commit(1)
+    storage.remove(spark, next(str(p) for p in tmp_path.glob("landed_rejects/query=*/batch=1")))
+    assert as_set(land()) == sorted(rows, key=repr) and rejected() == sorted(lines)
+    storage.remove(spark, f"{tmp_path}/cp")  # another query takes all files again and replaces nothing
+    assert land().count() == 2 * len(rows) and len(rejected()) == 2 * len(lines)
+
+
+def test_a_file_with_other_columns_is_refused(spark, tmp_path):
+    put(tmp_path, "in/dq_check_1.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        intake.land_drops(spark, f"{tmp_path}/in", f"{tmp_path}/landed", f"{tmp_path}/cp", "a int, b int")
+
+
 @pytest.fixture
 def setup(spark, database, tmp_path):
     spark.sql(f"CREATE TABLE {database}.ref (pk INT COMMENT 'Key_No', v STRING) USING parquet")
