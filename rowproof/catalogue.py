@@ -324,6 +324,106 @@ def keys_mixed_type(t):
     return text_lines(t).keys_status()
 
 
+# --- values -----------------------------------------------------------------------------
+
+CHANGED_ORDERS = """
+WITH r AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, o_orderstatus AS status, o_orderpriority AS priority FROM orders),
+     d AS (SELECT CASE WHEN o_orderstatus = 'P' AND o_custkey % 2 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS o_orderkey,
+                  CAST(o_custkey + CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS VARCHAR) AS cust,
+                  o_orderstatus AS status, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority FROM orders)
+"""
+
+
+def changed_orders(t: Tables) -> Comparison:
+    """Orders against orders of which some have another customer, some no priority, and some another key."""
+    key, priority = F.col("o_orderkey"), F.col("o_orderpriority")
+    reference = t["orders"].select(
+        "o_orderkey", F.col("o_custkey").alias("cust"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")
+    )
+    moved = (F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 2 == 0)
+    delivered = t["orders"].select(
+        F.when(moved, -1 - key).otherwise(key).alias("O_ORDERKEY"),
+        (F.col("o_custkey") + (priority == "1-URGENT").cast("int")).alias("CUST"),
+        F.col("o_orderstatus").alias("STATUS"),
+        F.when(priority != "5-LOW", priority).alias("PRIORITY"),
+    )
+    return compare(reference, delivered, "o_orderkey")
+
+
+@query(
+    CHANGED_ORDERS
+    + """
+SELECT o_orderkey, CAST(1 AS BIGINT) AS row_no, 'cust' AS "column", 'changed' AS kind, r.cust AS reference_value, d.cust AS delivered_value
+FROM r JOIN d USING (o_orderkey) WHERE r.cust IS DISTINCT FROM d.cust
+UNION ALL SELECT o_orderkey, 1, 'status', 'changed', r.status, d.status FROM r JOIN d USING (o_orderkey) WHERE r.status IS DISTINCT FROM d.status
+UNION ALL SELECT o_orderkey, 1, 'priority', 'changed', r.priority, d.priority FROM r JOIN d USING (o_orderkey) WHERE r.priority IS DISTINCT FROM d.priority"""
+)
+def value_diff(t):
+    return changed_orders(t).value_diff()
+
+
+@query(CHANGED_ORDERS + "SELECT o_orderkey FROM r JOIN d USING (o_orderkey) WHERE (r.cust, r.status, r.priority) IS DISTINCT FROM (d.cust, d.status, d.priority)")
+def unequal_keys(t):
+    return changed_orders(t).unequal_keys()
+
+
+@query(
+    """
+WITH r AS (SELECT o_custkey AS cust, o_orderstatus AS status, o_orderpriority AS priority FROM orders),
+     d AS (SELECT o_custkey AS cust, CASE WHEN o_orderpriority = '5-LOW' THEN 'X' ELSE o_orderstatus END AS status,
+                  CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority FROM orders
+           UNION ALL SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderpriority = '2-HIGH'),
+     left_only AS (SELECT * FROM r EXCEPT ALL SELECT * FROM d), right_only AS (SELECT * FROM d EXCEPT ALL SELECT * FROM r),
+     a AS (SELECT *, row_number() OVER (PARTITION BY cust ORDER BY status NULLS FIRST, priority NULLS FIRST) AS row_no FROM left_only),
+     b AS (SELECT *, row_number() OVER (PARTITION BY cust ORDER BY status NULLS FIRST, priority NULLS FIRST) AS row_no FROM right_only),
+     p AS (SELECT coalesce(a.cust, b.cust) AS cust, coalesce(a.row_no, b.row_no) AS row_no, a.status AS s1, b.status AS s2, a.priority AS p1, b.priority AS p2,
+                  CASE WHEN b.cust IS NULL THEN 'reference_row' WHEN a.cust IS NULL THEN 'delivered_row' ELSE 'changed' END AS kind
+           FROM a FULL JOIN b ON a.cust = b.cust AND a.row_no = b.row_no),
+     u AS (SELECT cust, row_no, 'status' AS "column", kind, s1 AS reference_value, s2 AS delivered_value FROM p
+           UNION ALL SELECT cust, row_no, 'priority', kind, p1, p2 FROM p)
+SELECT "column", kind, count(*) AS n_rows, count(DISTINCT cust) AS n_keys, min(reference_value) AS least_reference, max(delivered_value) AS greatest_delivered
+FROM u WHERE kind <> 'changed' OR reference_value IS DISTINCT FROM delivered_value GROUP BY "column", kind"""
+)
+def value_diff_repeated(t):
+    """Customers with many orders on either side: rows are compared as multisets. Counts of the differences."""
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    orders = t["orders"].select(F.col("o_custkey").alias("cust"), status.alias("status"), priority.alias("priority"))
+    low, partial = F.col("priority") == "5-LOW", F.col("status") == "P"
+    changed = orders.select("cust", F.when(low, "X").otherwise(F.col("status")).alias("status"), F.when(~partial, F.col("priority")).alias("priority"))
+    found = compare(orders, changed.unionAll(orders.where("priority = '2-HIGH'")), "cust").value_diff()
+    return found.groupBy("column", "kind").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cust").alias("n_keys"),
+        F.min("reference_value").alias("least_reference"), F.max("delivered_value").alias("greatest_delivered"),
+    )
+
+
+@query(
+    ORDERS_LINEITEM
+    + """SELECT side, times, count(*) AS n_keys, CAST(sum(times) AS BIGINT) AS n_rows FROM (
+    SELECT 'reference' AS side, count(*) AS times FROM r GROUP BY order_key
+    UNION ALL SELECT 'delivered', count(*) FROM d GROUP BY order_key) q GROUP BY side, times"""
+)
+def duplicate_keys(t):
+    """How many orders have how many line items."""
+    return orders_lineitem(t).duplicate_profile()
+
+
+@query(
+    """SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, count(*) AS n_reference, CAST(0 AS BIGINT) AS n_delivered, FALSE AS present
+FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY o_custkey
+UNION ALL SELECT CAST(o_custkey AS VARCHAR), count(*), CAST(1 AS BIGINT), TRUE
+FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY o_custkey
+UNION ALL SELECT CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey ELSE -1 - c_custkey END AS VARCHAR), 0, 1, FALSE FROM customer
+WHERE c_mktsegment <> 'BUILDING' OR c_custkey NOT IN (SELECT o_custkey FROM orders)
+ORDER BY greatest(n_reference, n_delivered) DESC, o_custkey LIMIT 50"""
+)
+def heaviest_keys(t):
+    """The customers with most orders; a part of the delivered customers' keys is turned negative."""
+    key = F.col("c_custkey")
+    moved = F.when(F.col("c_mktsegment") == "BUILDING", key).otherwise(-1 - key)
+    return compare(t["orders"], t["customer"].select(moved.alias("o_custkey")), "o_custkey").heaviest_keys(50)
+
+
 # --- totals -----------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowproof.operators import columns, keys, totals
+from rowproof.operators import columns, keys, totals, values
 from rowproof.spec import CompareSpec
 
 
@@ -72,6 +72,23 @@ class Comparison:
             self.pair, len(self.reference.columns), len(self.delivered.columns)
         )
 
+    def value_diff(self, only: list[str] | None = None) -> DataFrame:
+        """What differs in the common columns, or in ``only`` these, between rows of equal key. Runs jobs when called."""
+        return values.value_diff(self.reference, self.delivered, self.pair, self.common_columns(), only)
+
+    def unequal_keys(self, only: list[str] | None = None) -> DataFrame:
+        """Keys on both sides whose rows are not the same multiset."""
+        chosen = values.value_columns(self.common_columns(), self.spec.keys, only)
+        return values.unequal_keys(self.reference, self.delivered, self.pair, chosen)
+
+    def duplicate_profile(self) -> DataFrame:
+        """How many keys have how many rows, on either side."""
+        return values.duplicate_profile(self.pair)
+
+    def heaviest_keys(self, n: int = 100) -> DataFrame:
+        """The keys with most rows."""
+        return values.heaviest_keys(self.pair, n)
+
     def log(self) -> DataFrame:
         """What a run reports of itself, as numbered rows ``(step, item, value)``."""
         facts = [

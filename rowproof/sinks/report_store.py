@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import replace
 from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowproof import settings, storage
 from rowproof.operators import keys
 from rowproof.operators.columns import quoted
+from rowproof.operators.reduction import BROADCAST_BYTES, measure_keys, reduced
 from rowproof.plans.compare import Comparison
 from rowproof.plans.report import report_sheets
 
@@ -33,68 +33,10 @@ SCHEMAS = {
     settings.SHEET_PERCENT: "type string, percentage string",
 }
 
-# Delivered keys up to this size in total are sent to all executors, by default; measured, not guessed.
-BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW_OVERHEAD = 24
-
-
 def sheet_folder(path: str, folder: str, run_id: str) -> str:
     return f"{path.rstrip('/')}/{folder}/run_id={quote(run_id, safe=' +,@~()')}"
 
 
-def _row_bytes(key_rows: DataFrame) -> Column | None:
-    """Upper estimate of a row's size in memory; nothing where a type has no bound."""
-    size = F.lit(_ROW_OVERHEAD)
-    for field in key_rows.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(quoted(field.name)), F.lit(0)) + 16
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            return None
-        else:
-            size = size + F.lit(24)
-    return size.cast("bigint")
-
-
-def _has_safe_bounds(data_type: T.DataType) -> bool:
-    """Types whose values keep their order and are the same after a cast to text and back."""
-    return data_type == T.StringType() or isinstance(
-        data_type, (T.IntegralType, T.DateType, T.TimestampNTZType, T.DecimalType)
-    )
-
-
-@dataclass(frozen=True)
-class KeySizes:
-    """Size of some key rows, and a filter that all of them pass."""
-
-    total_bytes: float
-    within: Column | None
-
-
-def measure_keys(key_rows: DataFrame) -> KeySizes:
-    """One aggregate over the key rows; one row reaches the driver."""
-    row_bytes = _row_bytes(key_rows)
-    bounded = [f for f in key_rows.schema.fields if _has_safe_bounds(f.dataType)]
-    found = key_rows.agg(
-        F.lit(None).cast("bigint") if row_bytes is None else F.sum(row_bytes),
-        *[b(quoted(f.name)).cast("string") for f in bounded for b in (F.min, F.max)],
-    ).head()
-    within = None
-    for i, field in enumerate(bounded):
-        low, high = found[1 + 2 * i], found[2 + 2 * i]
-        if low is not None:
-            inside = quoted(field.name).between(
-                F.lit(low).cast(field.dataType), F.lit(high).cast(field.dataType)
-            )
-            within = inside if within is None else within & inside
-    return KeySizes(float("inf") if row_bytes is None else found[0] or 0, within)
-
-
-def _broadcast_allowed(spark: SparkSession) -> bool:
-    """Whether the session has broadcast joins on: -1 and 0 turn them off."""
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    return not threshold.startswith("-") and bool(threshold.strip("0bkmgtp"))
-
-
 def written_presence(
     comparison: Comparison, folder: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -102,8 +44,8 @@ def written_presence(
 
     The distinct delivered keys are written first, so their size and range are known
     exactly. Reference keys outside that range are not read where the files or partitions
-    are ordered by key. If the delivered keys are small, the reference is also filtered by
-    them before anything of it is shuffled; if not, both sides go through one grouping
+    are ordered by key. If the delivered keys are small, or far fewer than the reference, it is also
+    filtered by them before anything of it is shuffled (see ``reduction``); then both sides go through one grouping
     shuffle.
     """
     pair = comparison.pair
@@ -111,14 +53,9 @@ def written_presence(
         keys.distinct_delivered(pair, spelling=True), f"{folder}/delivered_keys"
     )
     wanted = delivered.where(keys.whole(pair)).select(*pair.typed_keys())
-    sizes = measure_keys(wanted)
-    reference = pair.reference
-    if sizes.within is not None:
-        reference = reference.where(sizes.within)
-    if _broadcast_allowed(delivered.sparkSession) and sizes.total_bytes <= broadcast_bytes:
-        reference = reference.join(F.broadcast(wanted), list(pair.keys), "left_semi")
-    pair = replace(pair, delivered=delivered, reference=reference)
-    return storage.stage(keys.presence(pair, small_delivered=False), f"{folder}/presence")
+    with reduced(pair.reference, wanted, list(pair.keys), measure_keys(wanted), broadcast_bytes) as reference:
+        pair = replace(pair, delivered=delivered, reference=reference)
+        return storage.stage(keys.presence(pair, small_delivered=False), f"{folder}/presence")
 
 
 def _stored(title: str, sheet: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +79,16 @@ def move(spark: SparkSession, path: str, folder: str, second_folder: str) -> str
 def literal_path(path: str) -> str:
     """A path for Spark readers in which ``[``, ``{``, ``*`` and ``?`` stand for themselves."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+@contextmanager
+def settings_held(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Hold these settings of the session for the jobs that run inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -5,6 +5,7 @@ from files import as_set, put
 from fixture_pairs import fixtures
 
 from rowproof import compare, storage
+from rowproof.operators import reduction
 from rowproof.plans.report import first_key_side_by_side, one_table, report_sheets
 from rowproof.sinks import landing, report_store
 from rowproof.sources import tables
@@ -84,7 +85,7 @@ def test_broadcast_is_off_with_the_sessions(spark, threshold, allowed):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        assert report_store._broadcast_allowed(spark) == allowed
+        assert reduction._broadcast_allowed(spark) == allowed
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -100,11 +101,11 @@ def test_empty_key_sheet_can_be_read(spark, tmp_path):
 
 def test_delivered_keys_are_measured(spark):
     keys = spark.createDataFrame([("ab", 1), (None, 2)], "s string, n int")
-    assert report_store.measure_keys(keys).total_bytes == (24 + 2 + 16 + 24) + (24 + 0 + 16 + 24)
+    assert reduction.measure_keys(keys).total_bytes == (24 + 2 + 16 + 24) + (24 + 0 + 16 + 24)
     nested = spark.createDataFrame([([1],)], "a array<int>")
-    sizes = report_store.measure_keys(nested)
+    sizes = reduction.measure_keys(nested)
     assert sizes.total_bytes == float("inf") and sizes.within is None
-    empty = report_store.measure_keys(keys.where("false"))
+    empty = reduction.measure_keys(keys.where("false"))
     assert empty.total_bytes == 0 and empty.within is None
 
 
@@ -116,7 +117,7 @@ def test_all_measured_keys_are_within_their_bounds(spark):
         "('\u00e9', 77L, 0.01BD, DATE'0001-01-01', TIMESTAMP_NTZ'1960-01-01 00:00:00', -1D) "
         "AS t(s, n, d, day, at, x)"
     )
-    within = report_store.measure_keys(keys).within
+    within = reduction.measure_keys(keys).within
     assert keys.where(within).count() == 3
     text = keys.where(within)._jdf.queryExecution().analyzed().toString()
     assert " x#" not in text.split("Filter")[1].split("\n")[0]
