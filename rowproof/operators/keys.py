@@ -126,12 +126,10 @@ def distinct_reference(pair: KeyPair) -> DataFrame:
 
 
 def distinct_delivered(pair: KeyPair, spelling: bool = False) -> DataFrame:
-    """Distinct delivered keys, on request with the smallest spelling of each.
-
-    The spelling takes a sorting aggregate where texts were read as another type.
-    """
+    """Distinct delivered keys, on request with the smallest spelling of each."""
     if spelling and pair.spelled:
-        return pair.delivered.groupBy(*pair.grouping).agg(*_smallest_spelling(pair))
+        spelled = pair.delivered.select(*pair.grouping, _SPELLED).distinct()
+        return spelled.groupBy(*pair.grouping).agg(*_smallest_spelling(pair))
     return pair.delivered.select(*pair.grouping).distinct()
 
 
@@ -228,10 +226,12 @@ def key_sides(pair: KeyPair, spelling: bool = False) -> DataFrame:
     """
     spelling = spelling and bool(pair.spelled)
     side = (F.lit(1).cast("tinyint"), F.lit(2).cast("tinyint"))
-    grouped = _union(pair, {"__side": side}, spelling).groupBy(*pair.grouping).agg(
-        F.bit_or("__side").alias("__side"),
-        *(_smallest_spelling(pair) if spelling else []),
-    )
+    rows, on = _union(pair, {"__side": side}, spelling), F.bit_or("__side").alias("__side")
+    if spelling:
+        # The smallest text takes a sorting aggregate. It comes second, over distinct spellings: each
+        # task hashes its raw rows first, however many there are of a key.
+        rows = rows.groupBy(*pair.grouping, _SPELLED).agg(on)
+    grouped = rows.groupBy(*pair.grouping).agg(on, *(_smallest_spelling(pair) if spelling else []))
     return grouped.select(
         "*",
         (F.col("__side") != 2).alias("__on_reference"),

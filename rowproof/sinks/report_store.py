@@ -1,8 +1,16 @@
-"""Report tables on disk: one folder per sheet, one partition per run."""
+"""Report tables on disk: one folder per sheet, one partition per run.
+
+A run is published at once: its sheets are written to folders of an attempt that nobody reads, and when all
+are there, one row appended to the table ``_runs`` names the attempt. Readers take the runs and their attempts from that
+table only. So a run that stops between two sheets is invisible, and one that is written again is replaced as a
+whole: until the new row is there, the sheets of the attempt before are read.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
+from datetime import datetime
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +35,7 @@ KEY_SHEETS = (settings.SHEET_KEYS_PRESENT, settings.SHEET_KEYS_ABSENT)
 _KEYS = "key_names array<string>, key_values array<string>"
 SCHEMAS = {
     settings.SHEET_COLUMN_COUNTS: "table_type string, n_columns int",
-    settings.SHEET_COLUMNS: "row_no int, present string, not_present string",
+    settings.SHEET_COLUMNS: "row_no int, present_columns string, not_present_columns string",
     settings.SHEET_KEYS_PRESENT: _KEYS,
     settings.SHEET_KEYS_ABSENT: _KEYS,
     settings.SHEET_PERCENT: "type string, percentage string",
@@ -85,35 +93,79 @@ def write_report(
     """Write the five sheets of a run below ``path`` and return them as read back.
 
     Each source is read once. Writing a run again replaces it, so a repeated run is safe. What
-    is written on the way is deleted when the sheets are there.
+    is written on the way is deleted when the sheets are there. A reader that has begun with the attempt before should read anew.
     """
     keys.require_free(comparison.pair, "run_id")
     spark, work = comparison.reference.sparkSession, sheet_folder(path, "_work", run_id)
-    presence = written_presence(comparison, work, broadcast_bytes)
+    attempt, before = uuid.uuid4().hex, attempts(spark, path).where(F.col("run_id") == run_id).collect()
+    presence = written_presence(comparison, f"{work}/{attempt}", broadcast_bytes)
     for title, sheet in report_sheets(comparison, presence, legacy).items():
-        stored = _stored(title, sheet)
-        stored.write.mode("overwrite").parquet(sheet_folder(path, FOLDERS[title], run_id))
+        _stored(title, sheet).write.parquet(_attempt_folder(path, title, run_id, attempt))
+    publish(spark, path, run_id, attempt, comparison.spec.keys)
     storage.remove(spark, work)
+    for old in before:  # a run has few attempts
+        for title in FOLDERS:
+            storage.remove(spark, _attempt_folder(path, title, run_id, old["attempt"]))
     return read_report(spark, path, run_id, comparison.spec.keys)
 
 
-def read_sheet(spark: SparkSession, path: str, title: str, run_id: str) -> DataFrame:
-    """One sheet of a run with its ``run_id``."""
-    sheet = spark.read.parquet(sheet_folder(path, FOLDERS[title], run_id))
+RUNS = "run_id string, attempt string, key_names array<string>, finished_at timestamp"
+
+
+def _attempt_folder(path: str, title: str, run_id: str, attempt: str) -> str:
+    return f"{sheet_folder(path, FOLDERS[title], run_id)}/attempt={attempt}"
+
+
+def publish(spark: SparkSession, path: str, run_id: str, attempt: str, key_names: tuple[str, ...] | list[str]) -> None:
+    """Make an attempt the run's report: one row in one file, so it is there or not."""
+    row = [(run_id, attempt, list(key_names), datetime.now())]
+    spark.createDataFrame(row, RUNS).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/_runs")
+
+
+def attempts(spark: SparkSession, path: str) -> DataFrame:
+    """All attempts that were finished, of all runs."""
+    folder = f"{path.rstrip('/')}/_runs"
+    if not storage.exists(spark, folder):
+        return spark.createDataFrame([], RUNS)
+    return spark.read.schema(RUNS).parquet(storage.literal_path(folder))
+
+
+def finished_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The finished runs, each with its latest attempt: ``run_id``, ``attempt``, ``key_names``, ``finished_at``."""
+    latest = F.max_by(F.struct("attempt", "key_names", "finished_at"), F.struct("finished_at", "attempt")).alias("latest")
+    return attempts(spark, path).groupBy("run_id").agg(latest).select("run_id", "latest.*")
+
+
+def _attempt_of(spark: SparkSession, path: str, run_id: str) -> str:
+    run = finished_runs(spark, path).where(F.col("run_id") == run_id).head()
+    if run is None:
+        raise FileNotFoundError(f"{path} has no finished run {run_id}")
+    return run["attempt"]
+
+
+def read_sheet(spark: SparkSession, path: str, title: str, run_id: str, attempt: str | None = None) -> DataFrame:
+    """One sheet of a finished run with its ``run_id``."""
+    attempt = attempt or _attempt_of(spark, path, run_id)
+    sheet = spark.read.schema(SCHEMAS[title]).parquet(storage.literal_path(_attempt_folder(path, title, run_id, attempt)))
     return sheet.withColumn("run_id", F.lit(run_id))
 
 
 def read_all(spark: SparkSession, path: str, title: str) -> DataFrame:
-    """One sheet of all runs. Key sheets hold ``key_names`` and ``key_values``, whatever a run's keys."""
+    """One sheet of all finished runs. Key sheets hold ``key_names`` and ``key_values``, whatever a run's keys."""
     folder = f"{path.rstrip('/')}/{FOLDERS[title]}"
-    return spark.read.schema(SCHEMAS[title] + ", run_id string").parquet(folder)
+    if not storage.exists(spark, folder):
+        return spark.createDataFrame([], SCHEMAS[title] + ", run_id string")
+    sheets = spark.read.schema(SCHEMAS[title] + ", run_id string, attempt string").parquet(storage.literal_path(folder))
+    finished = finished_runs(spark, path).select("run_id", "attempt")
+    return sheets.join(finished, ["run_id", "attempt"], "left_semi").select(*[c for c in sheets.columns if c != "attempt"])
 
 
 def read_report(
     spark: SparkSession, path: str, run_id: str, key_names: tuple[str, ...] | None = None
 ) -> dict[str, DataFrame]:
     """All sheets of a run; with ``key_names``, its key sheets have a column for each key."""
-    sheets = {title: read_sheet(spark, path, title, run_id) for title in FOLDERS}
+    attempt = _attempt_of(spark, path, run_id)
+    sheets = {title: read_sheet(spark, path, title, run_id, attempt) for title in FOLDERS}
     if key_names:
         sheets |= {title: wide_keys(sheets[title], key_names) for title in KEY_SHEETS}
     return sheets

@@ -83,3 +83,14 @@ def test_unreadable_texts_are_spread_over_tasks(spark, sides):
         shuffles = re.findall(r"hashpartitioning\(([^)]*)\)", plan(result.keys_delivered_only()))
         assert "__odd_0" in shuffles[0]
         assert result.keys_delivered_only().count() == 500
+
+
+def test_spellings_are_hashed_before_they_are_sorted(spark, sides):
+    """Between the scans and the first shuffle there is no sort, so raw rows are only hashed."""
+    reference, delivered = sides
+    texts = delivered.selectExpr("concat('0', k) AS k")
+    for df in (compare(reference, texts, "k").keys_status(), compare(reference, texts, "k").presence()):
+        lines = plan(df).splitlines()
+        last_shuffle = max(i for i, line in enumerate(lines) if "Exchange" in line)
+        below = "\n".join(lines[last_shuffle:])
+        assert "HashAggregate" in below and "Sort" not in below and below.count("FileScan") == 2

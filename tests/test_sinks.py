@@ -63,10 +63,11 @@ def test_report_tables(spark, tmp_path, threshold, as_text):
     for title, sheet in sheets.items():
         assert as_set(sheet.drop("run_id")) == as_set(expected[title]), title
         assert {r.run_id for r in sheet.select("run_id").collect()} == {"a#1_CompareData_x"}
-    whole = spark.read.parquet(f"{tmp_path}/report/percentage")
+    whole = report_store.read_all(spark, f"{tmp_path}/report", "Percentage")
     assert {r.run_id for r in whole.collect()} == {"a#1_CompareData_x", "second"}
     left = sorted(os.listdir(f"{tmp_path}/report"))
-    assert left == ["_work", "column_counts", "columns", "keys_not_present", "keys_present", "percentage"]
+    assert left == ["_runs", "_work", "column_counts", "columns", "keys_not_present", "keys_present", "percentage"]
+    assert len(os.listdir(f"{tmp_path}/report/columns/run_id=second")) == 1
     assert os.listdir(f"{tmp_path}/report/_work") == []
 
 
@@ -80,6 +81,42 @@ def test_reports_with_other_keys_are_read_together(spark, tmp_path):
     assert ("two", ("crates",), ("338",)) in found and len(found) == 3 + 5
 
 
+def test_a_run_is_there_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    reference, delivered = fixtures()["tours"].frames(spark)
+    path, written = str(tmp_path), []
+    stored = report_store._stored
+
+    def stop_at_third(title, sheet):
+        written.append(title)
+        if len(written) % 5 == 3:
+            raise ConnectionError("killed")
+        return stored(title, sheet)
+
+    def present():
+        return {(r.run_id, r.key_names[0]) for t in report_store.KEY_SHEETS for r in report_store.read_all(spark, path, t).collect()}
+
+    assert report_store.read_all(spark, path, "Percentage").count() == 0
+    monkeypatch.setattr(report_store, "_stored", stop_at_third)
+    with pytest.raises(ConnectionError):
+        report_store.write_report(compare(reference, delivered, "Crates"), path, "r")
+    assert os.listdir(f"{path}/columns") == ["run_id=r"] and present() == set()
+    with pytest.raises(FileNotFoundError, match="no finished run r"):
+        report_store.read_report(spark, path, "r")
+    monkeypatch.setattr(report_store, "_stored", stored)
+    report_store.write_report(compare(reference, delivered, "Crates"), path, "r")
+    assert present() == {("r", "crates")}
+    monkeypatch.setattr(report_store, "_stored", stop_at_third)
+    written.clear()
+    with pytest.raises(ConnectionError):
+        report_store.write_report(compare(reference, delivered, "Depot"), path, "r")
+    assert present() == {("r", "crates")}  # all sheets of the attempt before
+    monkeypatch.setattr(report_store, "_stored", stored)
+    report_store.write_report(compare(reference, delivered, "Depot"), path, "r")
+    assert present() == {("r", "depot")}
+    runs = report_store.finished_runs(spark, path).collect()
+    assert [(r.run_id, r.key_names) for r in runs] == [("r", ["depot"])]
+
+
 @pytest.mark.parametrize("threshold,allowed", [("-1", False), ("0", False), ("0b", False), ("10MB", True), ("10485760b", True)])
 def test_broadcast_is_off_with_the_sessions(spark, threshold, allowed):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
