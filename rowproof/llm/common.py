@@ -56,6 +56,7 @@ class Steps:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.folder, self.n = spark, new_folder(spark, label), 0
         self.paths: list[str] = []
+        self.dropped: set[int] = set()
 
     def write(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -68,6 +69,7 @@ class Steps:
         """Delete tables that no later step reads, by their number from 1."""
         jvm = self.spark._jvm
         for n in numbers:
+            self.dropped.add(n)
             path = jvm.org.apache.hadoop.fs.Path(self.paths[n - 1])
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -1,6 +1,8 @@
 import pyarrow.parquet as pq
 import pytest
 
+from rowproof.llm import substring
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -28,3 +30,9 @@ def texts(spark):
 @pytest.fixture
 def empty(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+@pytest.fixture(autouse=True)
+def few_shares(monkeypatch):
+    """Results don't depend on the number of shares (see test_shares_give_one_result); each takes some jobs."""
+    monkeypatch.setattr(substring, "SHARES", 1)
