@@ -46,8 +46,8 @@ from pyspark.sql import types as T
 
 from rowproof.llm.common import bounded_batches, fresh, kept, map_texts, release
 
-STATES = 200_000
-PIECES = 60_000
+STATES = 400_000
+PIECES = 200_000
 PIECE_BYTES = 32
 _MEMO = "bytes-bpe"
 
@@ -139,22 +139,31 @@ class Transducer:
             known = [self._open[h] for h in state[::2]]
             self._forget()
             number = self._number_of(tuple(x for key, r in zip(known, state[1::2], strict=True) for x in (self._opened(*key), r)))
-        state, added, prefixes, ranks, opened = self._states[number], bytes([byte]), self.prefixes, self.ranks, self._open
-        moved, residuals, token = [], [], -1
+        state, added, prefixes, ranks, opened, numbers = self._states[number], bytes([byte]), self.prefixes, self.ranks, self._open, self._open_number
+        moved, common, token = [], True, -1
         for i in range(0, len(state), 2):
             pending, last = opened[state[i]]
             grown = prefixes.get(pending + added)
             if grown is None:
                 continue
-            moved.append(self._opened(grown, last))
-            residuals.append(state[i + 1])
-            if token < 0 and grown in ranks and self._joins(last, ranks[grown]):
-                token, here = ranks[grown], state[i + 1]
+            at = numbers.get((grown, last))
+            moved.append(self._opened(grown, last) if at is None else at)
+            residual = state[i + 1]
+            moved.append(residual)
+            common = common and residual
+            if token < 0:
+                rank = ranks.get(grown)
+                if rank is not None and self._joins(last, rank):
+                    token, here = rank, residual
         moved.append(self._opened(b"", token))
-        residuals.append((*here, token))
-        n = _in_common(residuals)
-        to = self._number_of(tuple(x for h, r in zip(moved, residuals, strict=True) for x in (h, r[n:])))
-        step = self._steps[number << 8 | byte] = (to, residuals[-1][:n]) if n else to
+        moved.append((*here, token))
+        n = _in_common(moved[1::2]) if common else 0
+        if not n:
+            step = self._steps[number << 8 | byte] = self._number_of(tuple(moved))
+            return step
+        emitted = moved[-1][:n]
+        moved[1::2] = [residual[n:] for residual in moved[1::2]]
+        step = self._steps[number << 8 | byte] = (self._number_of(tuple(moved)), emitted)
         return step
 
     def feed(self, data: bytes, state: int = 0) -> Iterator[tuple[int, tuple[int, ...]]]:
