@@ -9,7 +9,7 @@ probed only for rows that can still compete, the largest bounds first. Shards' b
 
 Negative components are handled by counting a term's score from its least value in the shard,
 so that all contributions are at least 0. Scores are whole numbers, computed in doubles while
-they are exact below 2**53 and in Python's whole numbers beyond; one beyond 64 bits is an error.
+they are exact below 2**53 and in Python's whole numbers beyond; a component or score beyond 64 bits is an error.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows with a
 null id, take no part; a shorter vector is filled up with zeros. A row is "own" to a query if it has its id, and
@@ -34,7 +34,14 @@ SCALE = 1024
 
 
 def whole(embedding: Column, scale: int = SCALE) -> Column:
-    return F.transform(embedding, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    """Components as whole numbers; one beyond 64 bits is an error, as a cast would only give the nearest one within."""
+
+    def one(x: Column) -> Column:
+        scaled = F.lit(float(scale)) * x.cast("double")
+        beyond = F.concat(F.lit("component beyond 64 bits: "), x.cast("string"))
+        return F.when(F.abs(scaled) < F.lit(2.0**63), F.floor(scaled)).otherwise(F.raise_error(beyond).cast("long"))
+
+    return F.transform(embedding, one)
 
 
 def usable(embedding: Column) -> Column:

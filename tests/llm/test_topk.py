@@ -60,3 +60,12 @@ def test_pruning_loses_nothing(monkeypatch, rows):
         scores = vectors @ vectors[i]
         want = sorted((-int(s), j) for j, s in enumerate(scores) if j != i)[:10]
         assert shard.best(i, vectors[i], 10) == [(-s, j) for s, j in want]
+
+
+@pytest.mark.parametrize("huge", [1e16, -1e17, 2e17])
+def test_components_beyond_64_bits_are_an_error(spark, huge):
+    rows = spark.createDataFrame([(0, [1.0, 2.0]), (1, [huge, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="component beyond 64 bits"):
+        topk.search_embeddings(rows).collect()
+    fits = spark.createDataFrame([(0, [0.0, 2.0]), (1, [8e15, 0.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r)[:3] for r in topk.search_embeddings(fits).select("query_id", "rank", "vec_id").collect()] == [(0, 1, 1)]
