@@ -548,7 +548,7 @@ def rename_by_comment(t):
     + """
 SELECT * FROM (VALUES
   (1, 'reference schema', 'c_custkey: bigint'), (2, 'reference schema', 'c_name: string'),
-  (3, 'reference schema', 'c_nationkey: int'), (4, 'reference schema', 'c_acctbal: double'),
+  (3, 'reference schema', 'c_nationkey: int'), (4, 'reference schema', 'c_acctbal: double (balance)'),
   (5, 'reference schema', 'c_mktsegment: string'), (6, 'delivered schema', 'C_CUSTKEY: bigint'),
   (7, 'delivered schema', 'C_NAME: string'), (8, 'delivered schema', 'C_NATIONKEY: int'),
   (9, 'delivered schema', 'C_MKTSEGMENT: string'), (10, 'delivered schema', 'C_NOTE: int'),
@@ -563,8 +563,10 @@ UNION ALL SELECT 19, 'delivered-only keys', CAST(n_absent AS VARCHAR) FROM c
 UNION ALL SELECT 20, 'reference-only keys', CAST(n_reference_only AS VARCHAR) FROM c"""
 )
 def run_log(t):
-    """Schemas, column lists and counts of a comparison, as a run reports them."""
-    return customers(t).log()
+    """Schemas, column lists and counts of a comparison, as a run reports them; one column has a comment."""
+    sides = customers(t)
+    commented = sides.reference.withMetadata("c_acctbal", {"comment": "balance"})
+    return compare(commented, sides.delivered, sides.spec).log()
 
 
 # --- report -----------------------------------------------------------------------------

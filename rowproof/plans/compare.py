@@ -36,6 +36,12 @@ class Comparison:
     def column_counts(self) -> DataFrame:
         return columns.column_counts(self.reference, self.delivered)
 
+    def schema_rows(self) -> DataFrame:
+        """Columns of both sides: ``side``, ``position``, ``name``, ``type``, ``nullable``, ``comment``."""
+        sides = (("reference", self.reference), ("delivered", self.delivered))
+        found = [columns.schema_rows(df).select(F.lit(side).alias("side"), "*") for side, df in sides]
+        return found[0].unionAll(found[1])
+
     def columns_side_by_side(self) -> DataFrame:
         return columns.columns_side_by_side(self.reference, self.delivered)
 
@@ -132,8 +138,15 @@ class Comparison:
 
 
 def _schema_facts(item: str, df: DataFrame) -> list[tuple[str, str]]:
+    """Name and type of each column, with ``not null`` and its comment where it has them."""
     return [
-        (item, f"{field.name}: {field.dataType.simpleString()}") for field in df.schema.fields
+        (
+            item,
+            f"{field.name}: {field.dataType.simpleString()}"
+            + ("" if field.nullable else " not null")
+            + (f" ({field.metadata['comment']})" if field.metadata.get("comment") else ""),
+        )
+        for field in df.schema.fields
     ]
 
 

@@ -1,5 +1,6 @@
 from files import as_set
 
+from rowproof import compare
 from rowproof.operators import columns as C
 
 
@@ -53,3 +54,15 @@ def test_schema_rows(spark, database):
 def test_pick_columns(spark):
     picked = C.pick_columns(frame(spark, "A.x", "b"), ["a.x"])
     assert picked.columns == ["a.x"] and picked.head()[0] == 0
+
+
+def test_schema_rows_of_both_sides(spark):
+    reference = spark.sql("SELECT 1 AS k, 'x' AS v").withMetadata("v", {"comment": "a value"})
+    delivered = spark.sql("SELECT cast(NULL AS bigint) AS K")
+    result = compare(reference, delivered, "k")
+    assert as_set(result.schema_rows()) == [
+        ("delivered", 1, "K", "bigint", True, None),
+        ("reference", 1, "k", "int", False, None), ("reference", 2, "v", "string", False, "a value"),
+    ]
+    shown = [r["value"] for r in result.log().collect() if r["item"].endswith("schema")]
+    assert shown == ["k: int not null", "v: string not null (a value)", "K: bigint"]
