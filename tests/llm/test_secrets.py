@@ -1,5 +1,8 @@
 import hashlib
 import re
+import time
+
+import pytest
 
 from rowproof.llm import secrets
 
@@ -60,3 +63,66 @@ def test_empty_and_repeated(texts, empty):
     assert secrets.find_secrets(empty, ["doc_id"]).count() == 0
     assert len(secrets.find_secrets(texts(["a", "a"], ids=[1, 1]), ["doc_id"]).collect()) == 2
     assert secrets.find_secrets(texts(["a"], ids=[None]), ["doc_id"]).first()["doc_id"] is None
+
+
+V = "x9Kq81Lmzz72pQ"
+FORMS = [
+    '{name} = """@"""', "{name} = (\n  '@'\n)", '{name} = "@";', "${name} = '@';", "{name}: '@'", "{name}: @\nhost: db", '{{"{name}" : "@", "host": "db"}}', '{name} => "@",',
+    '{name}            =            "@"', 'String {name} = "@";', 'let {name}: string = "@"', 'char {name}[] = "@";', 'var {name} string = "@"', '#define {name} "@"', "# {name} = '@'",
+    'x = 1  // {name} = "@"', 'd["{name}"] = "@"', 'set_{name}("@")', 'config.put("{name}", "@")', "<{name}>@</{name}>", '<db {name}="@"/>', '<add key="{name}" value="@"/>', "db:\n  {name}: |\n    @\n  host: db\n",
+    "{name}: >-\n  @\nnext: 1", "export {name}=@", 'if {name} == "@":', '{name} = process.env.X || "@"', '{name} = os.environ.get("DB_X") or "@"', '{name} = decode("@")', "{name} = b'@'", "{name} = `@`",
+    'it\'s 5" wide, {name} = "@"', 'kk = "@"\n{name} = kk', 'def f():\n    kk = "@"\n    {name} = kk', '{name}_list = [\n  "@",\n  "none"\n]', '{name} = {{\n  "user": "bob",\n  "value": "@"\n}}', '{name} = ("@"  # why\n)',
+]
+
+
+@pytest.mark.parametrize("name", ["db_pwd", "dbPwd", "DB_PASSPHRASE", "clientCredential", "signing_key"])
+@pytest.mark.parametrize("form", FORMS)
+def test_every_form_of_a_pair(form, name):
+    text = form.format(name=name).replace("@", V)
+    for whole in (text, f"Some words before, and 'quoted' ones.\n\n{text}\n\nand after"):
+        assert added(whole) == [V], whole
+
+
+def test_literals_of_one_value():
+    two = ["x9Kq81L", "mzz72pQ4"]
+    for text in (
+        "db_pwd = (\n  'x9Kq81L'\n  'mzz72pQ4')", 'db_pwd = "x9Kq81L" +\n   "mzz72pQ4";', 'db_pwd = "x9Kq81L"\n   + "mzz72pQ4";', 'db_pwd = "x9Kq81L" \\\n  "mzz72pQ4"', "db_pwd = 'x9Kq81L' . 'mzz72pQ4';",
+    ):
+        assert added(text) == two, text
+
+
+def test_values_of_every_kind():
+    assert added('db_pwd = "x9Kq\\"81Lmzz72"') == ['x9Kq\\"81Lmzz72']
+    assert added('wallet_passphrase = "correct horse battery staple"') == ["correct horse battery staple"]
+    assert added('db_pwd = "x9 Kq81 Lmzz72"') == ["x9 Kq81 Lmzz72"]
+    assert added('auth_key = "abcdEFGHijklMNOPqrstUVWX"') == ["abcdEFGHijklMNOPqrstUVWX"]
+
+
+def test_scopes_of_constants():
+    assert added(f'def f():\n    kk = "{V}"\ndef g():\n    db_pwd = kk\n') == []
+    assert added(f'f {{ kk = "{V}"; }}\ndb_pwd = kk') == []
+    assert added(f'kk = "{V}"\nf {{ kk = "other"; }}\ndb_pwd = kk') == [V]
+
+
+def test_code_without_secrets():
+    for text in (
+        'db_pwd_prompt = "Enter the words"', 'pwd_message = "Please enter your password"', 'private_key_path = "/etc/ssl/private/server9.key"', 'db_pwd = os.environ["DB_PASSWORD_PRODUCTION"]',
+        "key = get_value_from_something(other)", 'primaryKey = "customerIdentifier"', 'credentials_url = "https://a.example.org/x1y2z3"', 'for key in sorted(values): print("key", key, values[key])',
+        f'db_pwd = ""\nname = "{V}"', f'pwd: \n  host: "{V}"', 'key_type = "rsa2048-sha256-pss"', f'key = 1\n\ntitle = "{V}"', 'print("pwd", "of the user")',
+    ):
+        assert added(text) == [], text
+
+
+UNITS = ['key="', "key(", "pwd=[", "<key>", "key: {", "'''\"\"\"key", 'key = "a" + ', "key = a + a\na = key + 'x' + key\n", "{ key = b ", "key (\n\n{", "# key ", "\\` key", "the key and ", "<key ", "key: |\n  "]
+
+
+@pytest.mark.parametrize("unit", UNITS)
+def test_time_grows_with_the_text(unit):
+    start = time.process_time()
+    secrets.literal_spans(unit * (200_000 // len(unit)), [])
+    assert time.process_time() - start < 10
+
+
+def test_names_of_results_are_refused(texts):
+    with pytest.raises(ValueError, match="spans"):
+        secrets.find_secrets(texts(["a"]).withColumnRenamed("kept", "spans"), ["doc_id", "spans"])
