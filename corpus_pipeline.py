@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowproof.llm import minhash, packing, pii, quality, substring
-from rowproof.llm.common import Steps, filtered, table
+from rowproof.llm.common import Steps, filtered, fresh, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,10 +16,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
-    judged = minhash.near_duplicates(docs, k=5, percent=80)
-    gone = judged.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept").select("doc_id")
-    return filtered(docs, "doc_id", Steps(spark, "near-copies").write(gone), "left_anti")
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more.
+
+    A document is judged by its id and text, so rows that share an id with other texts have verdicts of their own.
+    The smallest id stays, a null one only if there is no other, and of rows that are equal in both one stays, the
+    first in the order of the other columns. Texts without words have no copies.
+    """
+    key = fresh("key")
+    keyed = docs.withColumn(
+        key, F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64(F.lit(1), "text"), F.col("text").isNull())
+    )
+    judged = minhash.near_duplicates(keyed, key, k=5, percent=80)
+    verdicts = judged.groupBy(key).agg(F.bool_and("kept").alias("kept"), (F.count(F.lit(1)) > 1).alias("repeated"))
+    special = Steps(spark, "near-copies").write(verdicts.where("not kept or repeated"))
+    plain = filtered(keyed, key, special.select(key), "left_anti").select(*docs.columns)
+    repeated = filtered(keyed, key, special.where("kept").select(key))
+    first = repeated.groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return plain.unionByName(first)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
