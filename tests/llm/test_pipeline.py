@@ -5,7 +5,7 @@ import pytest
 from oracle import connect, differences
 
 import __spark_entry__ as entry
-from rowproof.llm import queries, quality
+from rowproof.llm import minhash, queries, quality
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -44,3 +44,23 @@ def test_run_is_the_stages_in_order(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "substring_dedup", "redact_pii", "pack"]
     rows = corpus_pipeline.run(spark, FOLDER)
     assert rows.columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"] and rows.count() > 0
+
+
+def test_near_dedup_judges_rows_by_id_and_text(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other = text.replace("w59", "end"), " ".join(f"v{i}" for i in range(60))
+    rows = [
+        (5, text, "b"), (5, text, "a"), (None, text, "c"), (7, near, "d"), (7, other, "e"), (3, other + " more", "f"),
+        (None, "only here " * 9, "g"), (8, None, "h"), (8, None, "h"), (9, "", "i"), (10, "", "j"), (None, None, "k"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    got = sorted(map(tuple, corpus_pipeline.near_dedup(spark, docs, FOLDER).collect()), key=repr)
+    want = [(5, text, "a"), (3, other + " more", "f"), (None, "only here " * 9, "g"), (8, None, "h"), (9, "", "i"), (10, "", "j"), (None, None, "k")]
+    assert got == sorted(want, key=repr)
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_near_dedup_keeps_one_of_each_component(spark, documents):
+    judged = minhash.near_duplicates(documents)
+    want = sorted(r["doc_id"] for r in judged.where("kept").select("doc_id").collect())
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, documents, FOLDER).collect()) == want
