@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rowproof import settings, storage
 from rowproof.functions.names import folder_of, run_name, table_name
-from rowproof.operators import columns, keys, totals
+from rowproof.operators import catalog_columns, columns, keys, totals
 from rowproof.operators.ordering import first_rows, top_rows
 from rowproof.plans.compare import Comparison, compare
 from rowproof.plans.job import compare_drop
@@ -297,6 +297,17 @@ def keys_status(t):
     return moved_lines(t).keys_status()
 
 
+@query(ORACLES["keys_status"])
+def keys_status_bucketed(t):
+    """The same after both sides were landed bucketed by their keys: compared without a shuffle."""
+    sides = moved_lines(t)
+    reference, delivered = (
+        landing.land_bucketed(df, t.new_table("lines"), sides.spec.keys, buckets=8, files_per_bucket=1)
+        for df in (sides.reference, sides.delivered)
+    )
+    return compare(reference, delivered, sides.spec).keys_status()
+
+
 @query(
     NULL_ORDERS
     + f"""
@@ -528,6 +539,41 @@ def columns_reference_only(t):
     )
 
 
+ALL_TABLES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region",
+    "supplier",
+)
+
+
+def table_pairs(t: Tables) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Every table as the reference of the next one, in the order of names; columns without their table's letter."""
+    bare = {n: t[n].toDF(*[re.sub("^[a-z]_", "", c) for c in t[n].columns]) for n in ALL_TABLES}
+    return {f"{a}-{b}": (bare[a], bare[b]) for a, b in zip(ALL_TABLES, ALL_TABLES[1:], strict=False)}
+
+
+_FILLED = " UNION ALL ".join(
+    f"SELECT '{n}' AS t, CAST(row_number() OVER () AS INT) AS position, regexp_replace(lower(c), '^[a-z]_', '') AS name, filled "
+    f"FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM {n}) ON COLUMNS(*) INTO NAME c VALUE filled)"
+    for n in ALL_TABLES
+)
+_PAIRS = ", ".join(f"('{a}-{b}', '{a}', '{b}')" for a, b in zip(ALL_TABLES, ALL_TABLES[1:], strict=False))
+
+
+@query(
+    f"""WITH c AS ({_FILLED}), pairs(pair, reference, delivered) AS (VALUES {_PAIRS}),
+rows AS (SELECT pair, 'reference' AS side, c.* EXCLUDE t FROM pairs JOIN c ON t = reference
+         UNION ALL SELECT pair, 'delivered', c.* EXCLUDE t FROM pairs JOIN c ON t = delivered),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY pair, side, name ORDER BY position) AS INT) AS occurrence FROM rows)
+SELECT n.*, CASE WHEN EXISTS (SELECT 1 FROM n o WHERE o.pair = n.pair AND o.side <> n.side AND o.name = n.name AND o.occurrence = n.occurrence)
+                 THEN 'common' ELSE n.side || '_only' END AS status FROM n"""
+)
+def columns_of_pairs(t):
+    """Columns of all tables, paired by rule, with what they have in common and how many values each has."""
+    pairs = table_pairs(t)
+    rows = catalog_columns.column_rows(t.spark, pairs)
+    return catalog_columns.filled_columns(rows, pairs).drop("type")
+
+
 @query(
     "SELECT c_custkey AS customer_no, c_mktsegment AS c_name, c_nationkey, c_acctbal, "
     "c_name AS c_mktsegment FROM customer"
@@ -944,6 +990,25 @@ def intake_redelivered(t):
     return t.spark.read.parquet(f"{root}/landed").groupBy("event_id").agg(F.count(F.lit(1)).alias("times"))
 
 
+@query("SELECT event_id, event_type FROM events")
+def intake_side_by_side(t):
+    """All events delivered as 20 drops, of which four at a time are taken, beside two that cannot be read."""
+    root = storage.new_folder(t.spark, "intake")
+    landing.write_delimited(t["events"].select("event_id", "event_type").repartition(20), f"{root}/incoming")
+    t.spark.range(0, 2, 1, 2).write.mode("append").parquet(f"{root}/incoming")
+
+    def take(drop):
+        if drop["name"].endswith(".parquet"):
+            raise ValueError("no delimited text")
+        own = storage.own_session(t.spark)
+        rows = tables.delivered_table(own, storage.literal_path(drop["path"]))
+        rows.select(F.col("event_id").cast("bigint"), "event_type").write.parquet(f"{root}/landed/drop={drop['run_id']}")
+
+    with contextlib.suppress(DropsFailed):
+        handle_drops(t.spark, f"{root}/incoming", take, f"{root}/ledger", prefix="part-", at_once=4)
+    return t.spark.read.parquet(f"{root}/landed").drop("drop")
+
+
 # --- names and orders -------------------------------------------------------------------
 
 

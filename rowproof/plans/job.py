@@ -111,19 +111,21 @@ def _archive(job: Mapping[str, str]) -> str | None:
 
 
 def run_incoming(
-    spark: SparkSession, job_path: str, ledger: str, legacy: bool = False, retry_failed: bool = False
+    spark: SparkSession, job_path: str, ledger: str, legacy: bool = False, retry_failed: bool = False, at_once: int = 1
 ) -> DataFrame:
     """Compare every drop that the ledger lacks, write its report, and archive what was handled.
 
     A run is named by its drop's modification time, so a drop taken twice replaces its report.
-    Raises ``DropsFailed`` after all drops if some failed.
+    Raises ``DropsFailed`` after all drops if some failed. Up to ``at_once`` drops are compared side by side, each in
+    a session of its own.
     """
     job = job_settings(spark, job_path)
     return handle_drops(
         spark,
         _needed(job, settings.DROP_FOLDER),
-        lambda drop: _run(spark, job, drop, legacy),
+        lambda drop: _run(storage.own_session(spark) if at_once > 1 else spark, job, drop, legacy),
         ledger,
         archive=_archive(job),
         retry_failed=retry_failed,
+        at_once=at_once,
     )

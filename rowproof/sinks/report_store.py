@@ -8,6 +8,7 @@ whole: until the new row is there, the sheets of the attempt before are read.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from dataclasses import replace
 from datetime import datetime
@@ -116,10 +117,15 @@ def _attempt_folder(path: str, title: str, run_id: str, attempt: str) -> str:
     return f"{sheet_folder(path, FOLDERS[title], run_id)}/attempt={attempt}"
 
 
+# Appends to one folder share its temporary files, so runs side by side publish one after another.
+_PUBLISHING = threading.Lock()
+
+
 def publish(spark: SparkSession, path: str, run_id: str, attempt: str, key_names: tuple[str, ...] | list[str]) -> None:
     """Make an attempt the run's report: one row in one file, so it is there or not."""
     row = [(run_id, attempt, list(key_names), datetime.now())]
-    spark.createDataFrame(row, RUNS).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/_runs")
+    with _PUBLISHING:
+        spark.createDataFrame(row, RUNS).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/_runs")
 
 
 def attempts(spark: SparkSession, path: str) -> DataFrame:

@@ -92,3 +92,12 @@ def settings_held(spark: SparkSession, values: Mapping[str, str]) -> Iterator[No
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings and catalog, but with views and settings of its own."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own

@@ -10,10 +10,11 @@ finds new ones. Lines that are no rows are kept in a table of rejects.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from datetime import datetime
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,6 +167,33 @@ def new_drops(
     return found.join(known.select(*_IDENTITY).distinct(), _IDENTITY, "left_anti")
 
 
+def side_by_side(spark: SparkSession, call: Callable, items: Iterable, at_once: int) -> Iterator[tuple]:
+    """``(item, call(item))`` as calls end, with up to ``at_once`` of them running; ``items`` is read as calls begin."""
+    context, free = spark.sparkContext, list(range(at_once))
+
+    def run(item, number: int):
+        context.setLocalProperty("spark.scheduler.pool", f"drops-{number}")
+        return call(item)
+
+    with ThreadPoolExecutor(at_once) as threads:
+        running: dict[Future, tuple] = {}
+        items = iter(items)
+        more = True
+        while more or running:
+            while more and free:
+                try:
+                    item = next(items)
+                except StopIteration:
+                    more = False
+                    break
+                number = free.pop()
+                running[threads.submit(inheritable_thread_target(spark)(run), item, number)] = item, number
+            for done in wait(running, return_when=FIRST_COMPLETED).done if running else ():
+                item, number = running.pop(done)
+                free.append(number)
+                yield item, done.result()
+
+
 def handle_drops(
     spark: SparkSession,
     folder: str,
@@ -175,6 +203,7 @@ def handle_drops(
     prefix: str = settings.DROP_PREFIX,
     files_per_batch: int = 10,
     retry_failed: bool = False,
+    at_once: int = 1,
 ) -> DataFrame:
     """Call ``handle`` for every new drop, newest first, and return their rows of the ledger.
 
@@ -183,6 +212,10 @@ def handle_drops(
     as a batch source, split over tasks. The ledger is appended after each ``files_per_batch`` drops, so after a
     crash some drops are handled again: ``handle`` must be safe to repeat. Exactly the drops
     that were handled well are moved to ``archive``.
+
+    Up to ``at_once`` drops are handled side by side, each by a thread whose jobs have a scheduler pool of their own (with
+    ``spark.scheduler.mode`` FAIR they share the executors evenly). ``handle`` must then be safe to call from several
+    threads; give each call a session by ``storage.own_session`` if it uses views or settings. The ledger is written by one thread.
     """
     taken = storage.stage(
         new_drops(spark, folder, ledger, prefix, retry_failed), storage.new_folder(spark, "drops")
@@ -196,21 +229,31 @@ def handle_drops(
             spark.createDataFrame(batch, LEDGER).coalesce(1).write.mode("append").parquet(ledger)
             batch.clear()
 
-    ordered = taken.orderBy(F.desc("modificationTime"), F.desc("name"))
-    for drop in ordered.toLocalIterator():
-        error = None
+    def attempt(drop: Row) -> str | None:
         try:
             handle(drop)
             if archive:
                 again = f"{archive.rstrip('/')}/{drop['run_id'].rsplit(settings.RUN_NAME_PART, 1)[1]}"
                 storage.move(spark, drop["path"], archive, again)
         except Exception as problem:  # noqa: BLE001 - one bad drop must not stop the others
-            error = f"{type(problem).__name__}: {problem}"
+            return f"{type(problem).__name__}: {problem}"
+        return None
+
+    def finish(drop: Row, error: str | None) -> None:
+        if error is not None:
             failed.append(drop["name"])
         outcome = DONE if error is None else FAILED
         batch.append((*(drop[c] for c in (*_IDENTITY, "name", "run_id")), outcome, error, datetime.now()))
         if len(batch) >= files_per_batch:
             record()
+
+    ordered = taken.orderBy(F.desc("modificationTime"), F.desc("name")).toLocalIterator()
+    if at_once > 1:
+        for drop, error in side_by_side(spark, attempt, ordered, at_once):
+            finish(drop, error)
+    else:
+        for drop in ordered:
+            finish(drop, attempt(drop))
     record()
     if failed:
         raise DropsFailed(f"{len(failed)} drops failed, such as {failed[:5]}; see {ledger}")

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from rowproof import CompareSpec, compare
+from rowproof.sinks import landing
 
 
 @pytest.fixture
@@ -94,3 +95,33 @@ def test_spellings_are_hashed_before_they_are_sorted(spark, sides):
         last_shuffle = max(i for i, line in enumerate(lines) if "Exchange" in line)
         below = "\n".join(lines[last_shuffle:])
         assert "HashAggregate" in below and "Sort" not in below and below.count("FileScan") == 2
+
+
+def test_bucketed_tables_are_compared_without_a_shuffle(spark, sides, database):
+    reference, delivered = sides
+    want = sorted(map(tuple, compare(reference, delivered, "k").keys_status().collect()))
+    left = landing.land_bucketed(reference, f"{database}.left_side", ["k"], 4)
+    right = landing.land_bucketed(delivered, f"{database}.right_side", ["k"], 4, files_per_bucket=1)
+    result = compare(left, right, "k")
+    for df in (result.keys_status(), result.presence(), result.keys_delivered_only(), result.keys_reference_only()):
+        assert "Exchange" not in plan(df) and "Join" not in plan(df) and "Bucketed: true" in plan(df)
+    assert "hashpartitioning" not in plan(result.summary())
+    assert sorted(map(tuple, result.keys_status().collect())) == want
+
+
+def test_tables_of_other_buckets_are_shuffled(spark, sides, database):
+    reference, delivered = sides
+    want = sorted(map(tuple, compare(reference, delivered, "k").keys_status().collect()))
+    left = landing.land_bucketed(reference, f"{database}.left_other", ["k"], 4)
+    right = landing.land_bucketed(delivered, f"{database}.right_other", ["k"], 3)
+    result = compare(left, right, "k").keys_status()
+    assert "Exchange" in plan(result) and sorted(map(tuple, result.collect())) == want
+
+
+def test_a_hot_key_is_written_by_several_tasks(spark, database):
+    rows = spark.range(4000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 7, id)) AS k", "id AS `x y`")
+    landed = landing.land_bucketed(rows, f"{database}.hot", ["k"], 4, files_per_bucket=3)
+    assert sorted(map(repr, landed.collect())) == sorted(map(repr, rows.collect()))
+    assert landed.where("k = 7").select("_metadata.file_path").distinct().count() == 3
+    assert len(landed.inputFiles()) <= 12
+    assert landing.land_bucketed(rows.limit(0), f"{database}.hot", ["k"], 4).count() == 0

@@ -1,4 +1,6 @@
 import os
+import threading
+import time
 
 import pytest
 from files import as_set, put
@@ -211,3 +213,41 @@ def test_landing_takes_files_of_any_age_and_starts_empty(spark, tmp_path):
     assert land().count() == 1
     put(tmp_path, "in/dq_check_0.csv", "k\nb\n", at=1_600_000_000)
     assert land().count() == 2
+
+
+def test_drops_side_by_side(spark, tmp_path):
+    """Twenty drops and one that fails: one outcome each, several at a time, and none twice."""
+    for i in range(20):
+        put(tmp_path, f"in/dq_check_{i}.csv", f"k\n{i}\n", at=1000 + i)
+    put(tmp_path, "in/dq_check_bad.csv", "k\n", at=500)
+    lock, running, most, seen = threading.Lock(), set(), [0], []
+
+    def handle(drop):
+        with lock:
+            running.add(drop["name"])
+            most[0] = max(most[0], len(running))
+        try:
+            if "bad" in drop["name"]:
+                raise ValueError("no drop")
+            seen.append((drop["name"], spark.read.csv(storage.literal_path(drop["path"]), header=True).first()["k"]))
+            time.sleep(0.05)
+        finally:
+            with lock:
+                running.remove(drop["name"])
+
+    with pytest.raises(intake.DropsFailed, match="dq_check_bad"):
+        intake.handle_drops(spark, f"{tmp_path}/in", handle, f"{tmp_path}/ledger", archive=f"{tmp_path}/done", files_per_batch=6, at_once=4)
+    assert sorted(seen) == sorted((f"dq_check_{i}.csv", str(i)) for i in range(20))
+    assert 1 < most[0] <= 4
+    ledger = intake.read_ledger(spark, f"{tmp_path}/ledger")
+    assert as_set(ledger.select("name", "outcome")) == sorted([(f"dq_check_{i}.csv", "done") for i in range(20)] + [("dq_check_bad.csv", "failed")])
+    assert sorted(os.listdir(f"{tmp_path}/in")) == ["dq_check_bad.csv"] and len(os.listdir(f"{tmp_path}/done")) == 20
+    assert intake.handle_drops(spark, f"{tmp_path}/in", handle, f"{tmp_path}/ledger", at_once=4).count() == 0
+
+
+def test_own_session_has_the_settings_and_its_own_views(spark):
+    spark.range(3).createOrReplaceTempView("shared_view")
+    own = storage.own_session(spark)
+    assert own.conf.get("spark.checkpoint.dir") == spark.conf.get("spark.checkpoint.dir")
+    assert own.conf.get("spark.sql.shuffle.partitions") == "4" and not own.catalog.tableExists("shared_view")
+    spark.catalog.dropTempView("shared_view")
