@@ -36,6 +36,8 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
         return hashes
     k_used = min(k, n)
     total = np.full(n - k_used + 1, k_used, np.uint64)
+    mixed = mix(hashes)
     for i in range(k_used):
-        total = total * _BASE + mix(hashes[i : n - k_used + 1 + i])
+        total *= _BASE
+        total += mixed[i : n - k_used + 1 + i]
     return mix(total)
