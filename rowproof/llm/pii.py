@@ -3,11 +3,11 @@
 Four base kinds are found by their patterns and checks and always stay. Generators with high
 recall propose further, overlapping spans: contacts with spelled-out signs, long digit groups,
 and groups of colon-separated hex numbers. Boosted trees (Spark ML, in the JVM) judge each candidate by its
-format and the words before it. They learn from a sample of at most ``SAMPLE_DOCS`` documents,
-whose candidates count as personal if the base rules confirm them; thresholds are calibrated per
-generator on candidates that the trees have not seen: the lowest score above which at least
-``PRECISION`` of them are confirmed. The trees become one SQL expression, so a document's spans
-are found, judged and cut where it is read, with no shuffle and no Python.
+format and the words before it. They learn from the candidates of all documents, equal ones as one row with
+their number as its weight; candidates count as personal if the base rules confirm them. A third of
+them, by a hash of the span, is kept from the trees, and all of it calibrates a threshold per
+generator: the lowest score above which at least ``PRECISION`` of them are confirmed. The trees become one SQL
+expression, so a document's spans are found, judged and cut where it is read, with no shuffle and no Python.
 
 Patterns scan in linear time: possessive parts, and no start inside a run that failed.
 
@@ -18,17 +18,17 @@ candidates to calibrate a generator, that generator adds nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowproof.llm.common import Steps, fresh
 
-SAMPLE_DOCS = 20_000
-SAMPLE_CANDIDATES = 5_000
+ROWS_PER_TASK = 50_000
 PRECISION = 0.98
 LEAST_CONFIRMED = 20
 KINDS = ("email", "ip", "card", "phone", "contact", "number", "address")
@@ -177,42 +177,45 @@ class Judge:
         return f"filter({candidates}, c -> coalesce(({self.sql}) >= case c.kind {limit} end, false))"
 
 
-def train(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS, sample_candidates: int = SAMPLE_CANDIDATES) -> Judge:
-    """Fit the trees and calibrate the thresholds on a bounded sample."""
-    n = docs.count()
-    if not n:
-        return Judge()
+def candidate_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The candidates of all documents: ``kind``, features ``f``, ``label``, ``part`` (0 is kept from the trees), and their number ``n``."""
     picked = docs.select(docs[text_col].alias("text")).where("text is not null")
-    picked = picked if n <= sample_docs else picked.sample(sample_docs / n, seed=29)
     rows = picked.select(F.explode(_candidates(F.col("text"))).alias("c"))
-    rows = rows.select("c.kind", "c.f", "c.hit", confirmed(F.col("c.kind"), F.col("c.hit"), F.col("c.before")).cast("double").alias("label"))
-    rows = rows.orderBy(F.xxhash64("hit", "f"), "hit").limit(sample_candidates)
-    part = F.pmod(F.xxhash64("hit"), F.lit(3)).alias("part")
-    sample = Steps(docs.sparkSession, "candidates").write(rows.select("kind", "f", "label", part))
-    table = sample.where("part > 0").select(array_to_vector("f").alias("features"), "label").coalesce(1)
-    if table.agg(F.count_distinct("label")).first()[0] < 2:
+    label = confirmed(F.col("c.kind"), F.col("c.hit"), F.col("c.before")).cast("double").alias("label")
+    part = F.pmod(F.xxhash64("c.hit"), F.lit(3)).alias("part")
+    groups = rows.select("c.kind", "c.f", label, part).groupBy("kind", "f", "label", "part").agg(F.count(F.lit(1)).alias("n"))
+    return groups.sortWithinPartitions("kind", "f", "label", "part")
+
+
+def train(docs: DataFrame, text_col: str = "text") -> Judge:
+    """Fit the trees and calibrate the thresholds on the candidates of all documents."""
+    groups = Steps(docs.sparkSession, "candidates").write(candidate_groups(docs, text_col))
+    table = groups.where("part > 0").select(array_to_vector("f").alias("features"), "label", F.col("n").cast("double").alias("weight"))
+    labels, rows = table.agg(F.count_distinct("label"), F.count(F.lit(1))).first()
+    if labels < 2:
         return Judge()
-    model = GBTClassifier(maxIter=8, maxDepth=3, stepSize=0.3, seed=3, checkpointInterval=-1, cacheNodeIds=False).fit(table)
-    trees = [(w, t._java_obj.rootNode()) for w, t in zip(model.treeWeights, model.trees, strict=True)]
-    judge = Judge(" + ".join(f"{float(w)!r}D * {_tree_sql(t, 'c.f')}" for w, t in trees))
-    # a third of the bounded sample, as numbers
-    unseen = sample.where("part = 0").select("kind", "f", "label").collect()
-    held = [(k, _score(trees, f), y) for k, f, y in unseen]
-    for kind in {k for k, _, _ in held}:
-        threshold = calibrated([(s, y) for k, s, y in held if k == kind])
-        if threshold is not None:
-            judge.thresholds[kind] = threshold
+    # Spark ML chooses splits by all rows as long as these are no more than the square of the bins
+    trees = GBTClassifier(
+        weightCol="weight", maxBins=max(32, math.isqrt(rows) + 1), maxIter=8, maxDepth=3, stepSize=0.3, seed=3, checkpointInterval=-1, cacheNodeIds=False
+    )
+    model = trees.fit(table.coalesce(-(-rows // ROWS_PER_TASK)))
+    judge = Judge(" + ".join(f"{float(w)!r}D * {_tree_sql(t._java_obj.rootNode(), 'c.f')}" for w, t in zip(model.treeWeights, model.trees, strict=True)))
+    unseen = groups.where("part = 0").select("kind", F.struct("f").alias("c"), "label", "n")
+    scored = unseen.select("kind", F.expr(judge.sql).alias("score"), "label", "n")
+    judge.thresholds = {r["kind"]: r["threshold"] for r in thresholds(scored).collect()}  # one row a generator
     return judge
 
 
-def _score(trees: list, f: list[float]) -> float:
-    total = 0.0
-    for weight, node in trees:
-        while node.getClass().getSimpleName() != "LeafNode":
-            split = node.split()
-            node = node.leftChild() if f[split.featureIndex()] <= split.threshold() else node.rightChild()
-        total += weight * node.prediction()
-    return total
+def thresholds(scored: DataFrame, precision: float = PRECISION, least: int = LEAST_CONFIRMED) -> DataFrame:
+    """``kind`` and its ``threshold`` as ``calibrated`` gives it, from ``kind``, ``score``, ``label`` and their number ``n``.
+
+    Kinds that can't be calibrated are left out.
+    """
+    by_score = scored.groupBy("kind", "score").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("right"))
+    above = Window.partitionBy("kind").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = by_score.select("kind", "score", F.sum("n").over(above).alias("n"), F.sum("right").over(above).alias("right"))
+    good = summed.where((F.col("right") >= least) & (F.col("right") >= precision * F.col("n")))
+    return good.groupBy("kind").agg(F.min("score").alias("threshold"))
 
 
 def calibrated(scored: list[tuple[float, float]], precision: float = PRECISION, least: int = LEAST_CONFIRMED) -> float | None:

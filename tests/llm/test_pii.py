@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -102,3 +103,23 @@ def test_empty(empty):
 def test_no_python_in_the_plan(documents, judge):
     plan = pii.find_pii(documents, ["doc_id"], judge=judge)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_trees_and_thresholds_use_every_candidate(texts):
+    """Many candidates, and the rare kind in one late document only: a sample of 5,000 holds too few of it to calibrate."""
+    values = [" ".join(f"+{1000000000 + 9 * i + j} 10.0.{i % 256}.{j}" for j in range(9)) for i in range(3400)]
+    values.append(" ".join(f"2001:db8:0:0:0:0:{i:x}:{i + 1:x}" for i in range(150)))
+    docs = texts([*values, None])
+    groups = pii.candidate_groups(docs)
+    assert {r[0]: r[1] for r in groups.groupBy("kind").sum("n").collect()} == {5: 9 * 3400, 6: 150}
+    assert groups.count() < 1000
+    assert {5, 6} <= set(pii.train(docs).thresholds)
+
+
+def test_thresholds_are_the_calibrated_ones(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.randrange(40) / 8, float(rng.random() < 0.9 + 0.1 * (k % 2)), rng.randint(1, 3)) for k in (4, 5, 6) for _ in range(300)]
+    rows += [(4, 9.0, 1.0, 30), (7, 1.0, 1.0, 5), (8, 1.0, 0.0, 90)]
+    got = {r["kind"]: r["threshold"] for r in pii.thresholds(spark.createDataFrame(rows, "kind int, score double, label double, n long")).collect()}
+    want = {k: pii.calibrated([(s, y) for kind, s, y, n in rows if kind == k for _ in range(n)]) for k in (4, 5, 6, 7, 8)}
+    assert got == {k: v for k, v in want.items() if v is not None} and {4, 5} <= set(got)
