@@ -301,8 +301,9 @@ def keys_status(t):
 def keys_status_bucketed(t):
     """The same after both sides were landed bucketed by their keys: compared without a shuffle."""
     sides = moved_lines(t)
+    buckets = landing.buckets_for(sides.reference, sides.delivered)
     reference, delivered = (
-        landing.land_bucketed(df, t.new_table("lines"), sides.spec.keys, buckets=8, files_per_bucket=1)
+        landing.land_bucketed(df, t.new_table("lines"), sides.spec.keys, buckets, files_per_bucket=1)
         for df in (sides.reference, sides.delivered)
     )
     return compare(reference, delivered, sides.spec).keys_status()

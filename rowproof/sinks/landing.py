@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: One task sorts and writes a bucket's file, and one reads a bucket of both sides.
+BUCKET_ROWS = 500_000
+
 
 def _identifier(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -31,19 +34,25 @@ def land_managed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def buckets_for(*sides: DataFrame, rows: int = BUCKET_ROWS, least: int = 8) -> int:
+    """The number of buckets in which each of ``sides`` has about ``rows`` rows a bucket; counts the rows."""
+    most = int(sides[0].sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(least, *(-(-df.count() // rows) for df in sides)))
+
+
 def land_bucketed(
     df: DataFrame, name: str, keys: Sequence[str], buckets: int, files_per_bucket: int = 4
 ) -> DataFrame:
     """Replace the managed table ``name`` by ``df``, bucketed and sorted by ``keys``, and return it.
 
     Two tables bucketed by the same keys, of the same types, into as many buckets are compared without a
-    shuffle: Spark keeps the buckets through the union of both sides. One task reads a bucket, so choose ``buckets``
-    for about 200 MB of keys each. Rows of a bucket are dealt over ``files_per_bucket`` writing tasks
-    by all their columns, so a hot key is not written by one task.
+    shuffle: Spark keeps the buckets through the union of both sides. One task reads a bucket, so let ``buckets``
+    grow with the tables, as ``buckets_for`` does. Rows of a bucket are dealt over ``files_per_bucket`` writing
+    tasks by all their columns, so a hot key is not written by one task. Each task writes one file of one bucket.
     """
     bucket = F.pmod(F.hash(*[F.col(_identifier(k)) for k in keys]), F.lit(buckets))
     spread = F.pmod(F.xxhash64(*[F.col(_identifier(c)) for c in df.columns]), F.lit(files_per_bucket))
-    dealt = df.repartition(buckets * files_per_bucket, bucket, spread)
+    dealt = df.repartitionById(buckets * files_per_bucket, (bucket * files_per_bucket + spread).cast("int"))
     dealt.write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").saveAsTable(name)
     return df.sparkSession.table(name)
 

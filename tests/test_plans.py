@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
 from rowproof import CompareSpec, compare
 from rowproof.sinks import landing
 
@@ -125,3 +126,15 @@ def test_a_hot_key_is_written_by_several_tasks(spark, database):
     assert landed.where("k = 7").select("_metadata.file_path").distinct().count() == 3
     assert len(landed.inputFiles()) <= 12
     assert landing.land_bucketed(rows.limit(0), f"{database}.hot", ["k"], 4).count() == 0
+
+
+def test_buckets_grow_with_the_table_and_a_task_writes_one_file_of_one(spark, database):
+    small, large = spark.range(300).toDF("k"), spark.range(5000).toDF("k")
+    assert landing.buckets_for(small, large, rows=100) == landing.buckets_for(large, rows=100) == 50
+    assert landing.buckets_for(small, rows=100) == landing.buckets_for(small.limit(0)) == 8
+    landed = landing.land_bucketed(large, f"{database}.many", ["k"], 50, files_per_bucket=2)
+    task = F.regexp_extract(F.col("_metadata.file_path"), r"part-(\d+)-.*_(\d+)\.c\d+", 1)
+    bucket = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d+)\.c\d+", 1)
+    files = landed.select(task.alias("task"), bucket.alias("bucket")).distinct().collect()
+    assert len(files) == len({r["task"] for r in files}) == 100 and len({r["bucket"] for r in files}) == 50
+    assert landed.distinct().count() == 5000
